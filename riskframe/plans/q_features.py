@@ -136,6 +136,37 @@ INST_DOUBLES = ["INST_PAYMENT_DELAY_MEAN", "INST_PAYMENT_DELAY_MAX", "INST_PAYME
 MATRIX_DOUBLES = FEAT_DOUBLES + BUREAU_DOUBLES + PREV_DOUBLES + INST_DOUBLES
 
 
+# Column names and Spark types of the feature matrix (the oracle SQL needs them statically).
+MATRIX_SCHEMA = [
+    ("SK_ID_CURR", "bigint"), ("TARGET", "int"), ("NAME_CONTRACT_TYPE", "string"),
+    ("CODE_GENDER", "string"), ("NAME_INCOME_TYPE", "string"), ("OCCUPATION_TYPE", "string"),
+    ("CNT_CHILDREN", "int"), ("REGION_RATING_CLIENT", "int"), ("FLAG_MOBIL", "int"),
+    ("AMT_INCOME_TOTAL", "double"), ("AMT_CREDIT", "double"), ("AMT_ANNUITY", "double"),
+    ("AMT_GOODS_PRICE", "double"), ("DAYS_BIRTH", "int"), ("DAYS_EMPLOYED", "double"),
+    ("DAYS_REGISTRATION", "double"), ("EXT_SOURCE_1", "double"), ("EXT_SOURCE_2", "double"),
+    ("EXT_SOURCE_3", "double"), ("DAYS_EMPLOYED_ANOMALY", "int"), ("credit_income_ratio", "double"),
+    ("annuity_income_ratio", "double"), ("goods_credit_ratio", "double"),
+    ("annuity_credit_ratio", "double"), ("age_years", "double"), ("employment_years", "double"),
+    ("registration_years", "double"), ("external_score_mean", "double"),
+    ("external_score_std", "double"), ("external_score_min", "double"),
+    ("external_score_max", "double"), ("missing_values_count", "bigint"),
+    ("BUREAU_COUNT", "bigint"), ("BUREAU_ACTIVE_COUNT", "bigint"), ("BUREAU_CLOSED_COUNT", "bigint"),
+    ("BUREAU_OVERDUE_COUNT", "bigint"), ("BUREAU_MEAN_AMT_CREDIT_SUM", "double"),
+    ("BUREAU_SUM_AMT_CREDIT_SUM", "double"), ("BUREAU_MAX_AMT_CREDIT_SUM", "double"),
+    ("BUREAU_MEAN_DAYS_CREDIT", "double"), ("BUREAU_MIN_DAYS_CREDIT", "int"),
+    ("BUREAU_CREDIT_TYPE_NUNIQUE", "bigint"), ("BUREAU_BB_OVERDUE_MONTHS_SUM", "bigint"),
+    ("BUREAU_BB_MONTHS_COUNT_SUM", "bigint"), ("PREV_COUNT", "bigint"),
+    ("PREV_APPROVED_COUNT", "bigint"), ("PREV_REFUSED_COUNT", "bigint"),
+    ("PREV_MEAN_AMT_CREDIT", "double"), ("PREV_MEAN_AMT_ANNUITY", "double"),
+    ("PREV_CONTRACT_TYPE_NUNIQUE", "bigint"), ("PREV_APPROVAL_RATE", "double"),
+    ("INST_COUNT", "bigint"), ("INST_PAYMENT_DELAY_MEAN", "double"),
+    ("INST_PAYMENT_DELAY_MAX", "double"), ("INST_LATE_PAYMENT_COUNT", "bigint"),
+    ("INST_PAYMENT_DIFF_MEAN", "double"), ("INST_PAYMENT_DIFF_SUM", "double"),
+    ("INST_LATE_PAYMENT_RATIO", "double")]
+MATRIX_NUMERIC = [c for c, t in MATRIX_SCHEMA if t != "string"]
+APP_CLEAN_SCHEMA = MATRIX_SCHEMA[:20]
+
+
 def matrix_sql(body: str, doubles: list[str], extra: list[tuple[str, str]] = ()) -> str:
     return rsql(body, doubles, views=CREDIT_VIEWS, ctes=MATRIX_CTES + list(extra))
 
