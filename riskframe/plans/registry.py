@@ -61,4 +61,4 @@ def rsql(body: str, double_cols: list[str], views: list[str] = (), ctes: list[tu
 
 def load_all() -> None:
     """Import every query module (each registers on import)."""
-    from . import q_features, q_profile, q_metrics  # noqa: F401
+    from . import q_features, q_profile, q_metrics, q_prep, q_models  # noqa: F401
