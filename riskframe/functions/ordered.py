@@ -17,8 +17,6 @@ the ranking metrics do this), so a hot value is a single row, not a hot bucket.
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,22 +31,40 @@ def default_buckets(df: DataFrame) -> int:
     return max(4, min(1024, sp))
 
 
-def bucket_expr(key: Column, splits: list) -> Column:
-    """Number of ``splits`` strictly below ``key`` as a balanced binary search (log depth).
+def sql_literal(v) -> str:
+    """SQL text of a Python scalar (typed, so no decimal literals sneak in)."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return f"{v}L"
+    if isinstance(v, float):
+        return f"CAST('{v!r}' AS DOUBLE)"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    ``splits`` must be sorted and free of duplicates.
-    """
-    def build(lo: int, hi: int) -> Column:
+
+def bucket_sql(key: str, splits: list) -> str:
+    """SQL of the number of ``splits`` strictly below ``key``, as a balanced binary search
+    (log depth).  Built as text and parsed once: building a large expression node by node
+    from Python costs one gateway call per node."""
+    lits = [sql_literal(x) for x in splits]
+
+    def build(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(key <= F.lit(splits[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
+        return f"CASE WHEN {key} <= {lits[mid]} THEN {build(lo, mid)} ELSE {build(mid + 1, hi)} END"
     return build(0, len(splits))
 
 
-def _group_cond(by: list[str], values) -> Column:
-    conds = [F.col(b).eqNullSafe(F.lit(v)) for b, v in zip(by, values)]
-    return reduce(lambda a, c: a & c, conds, F.lit(True))
+def bucket_expr(key: Column, splits: list) -> Column:
+    """Column form of ``bucket_sql`` for a named key column."""
+    return F.expr(bucket_sql(key._jc.toString(), splits))
+
+
+def _group_sql(by: list[str], values) -> str:
+    return " AND ".join(f"`{b}` <=> {sql_literal(v)}" for b, v in zip(by, values)) or "true"
 
 
 def running_totals(df: DataFrame, order_cols: list[str], value_cols: list[str],
@@ -71,16 +87,15 @@ def running_totals(df: DataFrame, order_cols: list[str], value_cols: list[str],
     n_split_values = sum(len(s) for _, s in groups)
 
     if n_split_values <= _INLINE_SPLIT_LIMIT:
+        kq = f"`{order_cols[0]}`"
         if not by:
-            bucket = bucket_expr(key, groups[0][1] if groups else [])
+            sql = bucket_sql(kq, groups[0][1] if groups else [])
+        elif not groups:
+            sql = "0"
         else:
-            bucket = None
-            for vals, splits in groups:
-                tree = bucket_expr(key, splits)
-                bucket = (F.when(_group_cond(by, vals), tree) if bucket is None
-                          else bucket.when(_group_cond(by, vals), tree))
-            bucket = F.lit(0) if bucket is None else bucket.otherwise(F.lit(0))
-        b = df.withColumn("_b", bucket)
+            sql = "CASE " + " ".join(f"WHEN {_group_sql(by, vals)} THEN {bucket_sql(kq, splits)}"
+                                     for vals, splits in groups) + " ELSE 0 END"
+        b = df.withColumn("_b", F.expr(sql))
     else:
         splits_df = df.sparkSession.createDataFrame(
             [tuple(v) + (s,) for v, s in groups], schema=df.select(*by).schema.add("_s", "array<double>"))
