@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reuse
+
 # Above this many (group x bucket) split values the buckets are attached by a join instead
 # of an inline expression.
 _INLINE_SPLIT_LIMIT = 20_000
@@ -76,6 +78,7 @@ def running_totals(df: DataFrame, order_cols: list[str], value_cols: list[str],
     descending, within each ``by`` group.  ``by`` values must not be null.
     """
     by = list(by)
+    df = reuse(df)   # read twice: bucket boundaries, then the running sums
     nb = n_buckets or default_buckets(df)
     key = F.col(order_cols[0])
     probs = [i / nb for i in range(1, nb)]

@@ -63,3 +63,11 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 def keep(df: DataFrame) -> DataFrame:
     """Persist a frame that several jobs reuse (spills to disk instead of recomputing)."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """Persist an input that the caller's plan reads more than once (no-op if already
+    persisted): the upstream joins and aggregations then run once, not once per read."""
+    if not df.storageLevel.useMemory and not df.storageLevel.useDisk:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df
