@@ -73,7 +73,7 @@ def class_counts(df: DataFrame, label: str) -> list[tuple]:
     return sorted(((r[label], r["count"]) for r in rows), key=lambda t: (t[0] is None, t[0]))
 
 
-def test_allocation(counts: list[int], test_size: float | int) -> list[int]:
+def split_allocation(counts: list[int], test_size: float | int) -> list[int]:
     """Per-class test counts: train part allocated first, test from the remainder."""
     n = sum(counts)
     n_test = test_size if isinstance(test_size, int) else math.ceil(test_size * n)
@@ -95,7 +95,7 @@ def stratified_split(df: DataFrame, label: str = TARGET, key: str = ID,
                      test_size: float | int = TEST_SIZE, seed: int = RANDOM_STATE) -> DataFrame:
     """Add boolean ``is_test``: exact per-class test counts, hash-ordered within class."""
     cc = class_counts(df, label)
-    alloc = test_allocation([n for _, n in cc], test_size)
+    alloc = split_allocation([n for _, n in cc], test_size)
     n_test = {k: t for (k, _), t in zip(cc, alloc)}
     ranked = hash_rank(df, [key], seed, by=[label])
     return ranked.withColumn("is_test", F.col("_rank") <= _by_class(label, n_test)) \
@@ -266,9 +266,11 @@ class TabularPreprocessor(Estimator):
                 idx = StringIndexer(inputCols=[f"cat__{c}" for c in cats],
                                     outputCols=[f"idx__{c}" for c in cats],
                                     handleInvalid="keep", stringOrderType="alphabetAsc").fit(filled)
+                # the indexer's "unknown" bucket is its last label; dropLast removes it, so an
+                # unseen category becomes the all-zero vector and every known one keeps a slot
                 ohe = OneHotEncoder(inputCols=[f"idx__{c}" for c in cats],
-                                    outputCols=[f"ohe__{c}" for c in cats], dropLast=True,
-                                    handleInvalid="keep").fit(idx.transform(filled))
+                                    outputCols=[f"ohe__{c}" for c in cats],
+                                    dropLast=True).fit(idx.transform(filled))
                 stages = [sql, idx, ohe]
                 cat_out = [f"ohe__{c}" for c in cats]
         if not stages:

@@ -1,0 +1,82 @@
+"""Driver contract, sources/sinks, and scalability of the flagship plan."""
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from riskframe.operators import clean, score
+from riskframe.plans import checks, q_features
+from riskframe.sources import catalog, io
+
+from .conftest import SF_SMALL
+
+
+def test_entry_runs(spark):
+    df = entry.entry(spark)
+    rows = df.collect()
+    assert len(rows) > 0
+    assert "BUREAU_COUNT" in df.columns and "INST_LATE_PAYMENT_RATIO" in df.columns
+
+
+def test_every_oracle_has_a_query():
+    qs, sql = entry.queries(), entry.oracle_sql()
+    assert set(sql) <= set(qs)
+    assert len(sql) >= 45
+
+
+def test_flagship_plan_is_scalable(spark):
+    m = q_features.feature_matrix_df(spark, SF_SMALL)
+    assert checks.plan_problems(m) == []
+    plan = checks.physical_plan(m)
+    assert "PushedFilters" in plan or "ReadSchema" in plan
+
+
+def test_csv_missing_tokens_and_errors(spark, tmp_root):
+    path = os.path.join(tmp_root, "application_train.csv")
+    with open(path, "w") as fh:
+        fh.write("SK_ID_CURR,OCCUPATION_TYPE,AMT_CREDIT\n1,nan,10.5\n2,Laborers,NA\n3,#N/A,\n4,None,x\n")
+    df = catalog.load_table(spark, "application_train", tmp_root, fmt="csv")
+    rows = {r.SK_ID_CURR: r for r in df.collect()}
+    assert rows["1"].OCCUPATION_TYPE is None and rows["2"].OCCUPATION_TYPE == "Laborers"
+    assert rows["2"].AMT_CREDIT is None and rows["3"].OCCUPATION_TYPE is None
+    with pytest.raises(KeyError):
+        catalog.load_table(spark, "nope", tmp_root)
+    with pytest.raises(FileNotFoundError):
+        catalog.load_table(spark, "bureau", tmp_root, fmt="csv")
+    rep = {r.table: r for r in catalog.verify_raw_data(spark, tmp_root, fmt="csv").collect()}
+    assert rep["application_train"].present and not rep["bureau"].present
+    assert not catalog.all_required_present(catalog.verify_raw_data(spark, tmp_root, fmt="csv"))
+    assert catalog.catalog_frame(spark).count() == len(catalog.CATALOG)
+    got = catalog.load_table(spark, "application_train", tmp_root, fmt="csv", nrows=2).collect()
+    assert [r.SK_ID_CURR for r in got] == ["1", "2"]
+
+
+def test_staged_io_roundtrip(spark, tmp_root):
+    df = spark.range(5).withColumn("x", F.col("id") * 2)
+    io.save_parquet(df, tmp_root, "feature_matrix", stage="processed")
+    assert io.load_processed(spark, tmp_root, "feature_matrix").count() == 5
+    io.save_table(df, tmp_root, "report", subdir="eda")
+    with pytest.raises(FileNotFoundError):
+        io.load_processed(spark, tmp_root, "missing")
+    ok, missing = io.artifacts_exist(spark, tmp_root)
+    assert not ok and "model best_model" in missing
+
+
+def test_what_if_clamps_and_recomputes(spark):
+    m = spark.createDataFrame([(1, 100.0, 5_000_000.0, None, 10.0, None, None)],
+                              "SK_ID_CURR long, AMT_INCOME_TOTAL double, AMT_CREDIT double, "
+                              "AMT_ANNUITY double, age_years double, credit_income_ratio double, "
+                              "annuity_income_ratio double")
+    ov = spark.createDataFrame([(1, None, 12.0)], "SK_ID_CURR long, AMT_CREDIT double, age_years double")
+    r = score.apply_overrides(m, ov).first()
+    assert r.AMT_CREDIT == 2_000_000.0            # clamped to the upper bound
+    assert r.age_years == 18.0                     # clamped to the lower bound
+    assert r.credit_income_ratio == pytest.approx(2_000_000.0 / 100.0)
+
+
+def test_class_balance(spark):
+    df = spark.createDataFrame([(0,), (0,), (0,), (1,)], "TARGET int")
+    r = clean.class_balance_summary(df).first()
+    assert (r.n_total, r.n_negative, r.n_positive) == (4, 3, 1)
+    assert r.imbalance_ratio == 3.0 and r.positive_rate == 0.25
