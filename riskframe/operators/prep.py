@@ -230,7 +230,11 @@ def _str_sql(v: str) -> str:
 class TabularPreprocessor(Estimator):
     """Numeric: exact median imputation (+ population standardisation); categorical:
     most-frequent imputation + sorted one-hot with unknown -> zero vector; everything
-    else dropped.  ``fit`` returns a ``PipelineModel`` of built-in stages."""
+    else dropped.  ``fit`` returns a ``PipelineModel`` of built-in stages.
+
+    ``fit_statistics`` and ``model_from_statistics`` split the work, so that the scaled
+    and the unscaled variant of one training set share a single statistics pass.
+    """
 
     def __init__(self, numeric: list[str], categorical: list[str], scale_numeric: bool = True,
                  output_col: str = "features"):
@@ -238,31 +242,21 @@ class TabularPreprocessor(Estimator):
         self.numeric, self.categorical = list(numeric), list(categorical)
         self.scale_numeric, self.output_col = scale_numeric, output_col
 
-    def _fit(self, dataset: DataFrame) -> PipelineModel:
+    def fit_statistics(self, dataset: DataFrame, with_scales: bool = True) -> dict:
         medians = exact_medians(dataset, self.numeric) if self.numeric else {}
         kept = [c for c in self.numeric if medians.get(c) is not None]  # all-missing dropped
-        selects, num_out = [], []
         scales = {}
-        if kept and self.scale_numeric:
+        if kept and with_scales:
             scales = population_scales(dataset, {c: F.coalesce(_q(c).cast("double"), F.lit(medians[c]))
                                                  for c in kept})
-        for c in kept:
-            e = f"coalesce(CAST(`{c}` AS DOUBLE), {_lit_sql(medians[c])})"
-            if self.scale_numeric:
-                m, s = scales[c]
-                e = f"(({e}) - {_lit_sql(m)}) / {_lit_sql(s)}"
-            selects.append(f"{e} AS `num__{c}`")
-            num_out.append(f"num__{c}")
-        stages = []
-        cat_out = []
+        stats = {"medians": medians, "kept": kept, "scales": scales, "cats": [], "modes": {},
+                 "indexer": None, "encoder": None}
         if self.categorical:
             modes = {r["column_name"]: r["mode"] for r in column_modes(dataset, self.categorical).collect()}
             cats = [c for c in self.categorical if modes.get(c) is not None]
-            for c in cats:
-                selects.append(f"coalesce(CAST(`{c}` AS STRING), {_str_sql(modes[c])}) AS `cat__{c}`")
+            stats.update(cats=cats, modes=modes)
             if cats:
-                sql = SQLTransformer(statement=f"SELECT *, {', '.join(selects)} FROM __THIS__")
-                filled = sql.transform(dataset)
+                filled = SQLTransformer(statement=self._fill_sql(stats, False)).transform(dataset)
                 idx = StringIndexer(inputCols=[f"cat__{c}" for c in cats],
                                     outputCols=[f"idx__{c}" for c in cats],
                                     handleInvalid="keep", stringOrderType="alphabetAsc").fit(filled)
@@ -271,13 +265,35 @@ class TabularPreprocessor(Estimator):
                 ohe = OneHotEncoder(inputCols=[f"idx__{c}" for c in cats],
                                     outputCols=[f"ohe__{c}" for c in cats],
                                     dropLast=True).fit(idx.transform(filled))
-                stages = [sql, idx, ohe]
-                cat_out = [f"ohe__{c}" for c in cats]
-        if not stages:
-            stages = [SQLTransformer(statement=f"SELECT *{', ' if selects else ''}{', '.join(selects)} FROM __THIS__")]
-        stages.append(VectorAssembler(inputCols=num_out + cat_out, outputCol=self.output_col))
+                stats.update(indexer=idx, encoder=ohe)
+        return stats
+
+    @staticmethod
+    def _fill_sql(stats: dict, scale: bool) -> str:
+        selects = []
+        for c in stats["kept"]:
+            e = f"coalesce(CAST(`{c}` AS DOUBLE), {_lit_sql(stats['medians'][c])})"
+            if scale:
+                m, s = stats["scales"][c]
+                e = f"(({e}) - {_lit_sql(m)}) / {_lit_sql(s)}"
+            selects.append(f"{e} AS `num__{c}`")
+        for c in stats["cats"]:
+            selects.append(f"coalesce(CAST(`{c}` AS STRING), {_str_sql(stats['modes'][c])}) AS `cat__{c}`")
+        return f"SELECT *{', ' if selects else ''}{', '.join(selects)} FROM __THIS__"
+
+    def model_from_statistics(self, stats: dict, scale: bool | None = None) -> PipelineModel:
+        scale = self.scale_numeric if scale is None else scale
+        stages = [SQLTransformer(statement=self._fill_sql(stats, scale))]
+        if stats["indexer"] is not None:
+            stages += [stats["indexer"], stats["encoder"]]
+        cols = [f"num__{c}" for c in stats["kept"]] + \
+            ([f"ohe__{c}" for c in stats["cats"]] if stats["indexer"] is not None else [])
+        stages.append(VectorAssembler(inputCols=cols, outputCol=self.output_col))
         return PipelineModel(stages)
 
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        return self.model_from_statistics(self.fit_statistics(dataset, self.scale_numeric))
+
 
 def build_preprocessor(numeric: list[str], categorical: list[str],
                        scale_numeric: bool = True) -> TabularPreprocessor:

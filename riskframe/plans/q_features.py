@@ -17,8 +17,10 @@ def credit(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def feature_matrix_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean (unique-key check: one key-only aggregation job, after which de-duplication
+    is a no-op and is skipped) and build the matrix as one lazy plan."""
     t = credit(spark, sf_dir)
-    t["application_train"] = clean.clean_application(t["application_train"], check_unique=False)
+    t["application_train"] = clean.clean_application(t["application_train"], check_unique=True)
     return features.build_feature_matrix(t)
 
 
