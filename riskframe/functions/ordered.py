@@ -25,6 +25,8 @@ from ..session import reuse
 # Above this many (group x bucket) split values the buckets are attached by a join instead
 # of an inline expression.
 _INLINE_SPLIT_LIMIT = 20_000
+# Above this many groups the per-group split points are not collected at all.
+_INLINE_GROUPS = 4_096
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -83,26 +85,29 @@ def running_totals(df: DataFrame, order_cols: list[str], value_cols: list[str],
     key = F.col(order_cols[0])
     probs = [i / nb for i in range(1, nb)]
     accuracy = max(10_000, 20 * nb)
-    # Bounded driver result: one array of nb-1 split points per group.
-    rows = (df.where(key.isNotNull()).groupBy(*by)
-              .agg(F.percentile_approx(key, probs, accuracy).alias("_s")).collect())
-    groups = [([r[b] for b in by], sorted(set(r["_s"] or []))) for r in rows]
-    n_split_values = sum(len(s) for _, s in groups)
-
-    if n_split_values <= _INLINE_SPLIT_LIMIT:
+    splits = (df.where(key.isNotNull()).groupBy(*by)
+                .agg(F.percentile_approx(key, probs, accuracy).alias("_s")))
+    # At most _INLINE_GROUPS rows come to the driver; more groups take the join path below,
+    # where nothing is collected or broadcast.
+    rows = splits.limit(_INLINE_GROUPS + 1).collect()
+    inline = len(rows) <= _INLINE_GROUPS
+    if inline:
+        groups = [([r[b] for b in by], sorted(set(r["_s"] or []))) for r in rows]
+        inline = sum(len(s) for _, s in groups) <= _INLINE_SPLIT_LIMIT
+
+    if inline:
         kq = f"`{order_cols[0]}`"
         if not by:
             sql = bucket_sql(kq, groups[0][1] if groups else [])
         elif not groups:
             sql = "0"
         else:
-            sql = "CASE " + " ".join(f"WHEN {_group_sql(by, vals)} THEN {bucket_sql(kq, splits)}"
-                                     for vals, splits in groups) + " ELSE 0 END"
+            sql = "CASE " + " ".join(f"WHEN {_group_sql(by, vals)} THEN {bucket_sql(kq, s)}"
+                                     for vals, s in groups) + " ELSE 0 END"
         b = df.withColumn("_b", F.expr(sql))
     else:
-        splits_df = df.sparkSession.createDataFrame(
-            [tuple(v) + (s,) for v, s in groups], schema=df.select(*by).schema.add("_s", "array<double>"))
-        b = (df.join(splits_df, by, "left")
+        sorted_splits = splits.select(*by, F.array_sort(F.array_distinct("_s")).alias("_s"))
+        b = (df.join(sorted_splits, by, "left")
                .withColumn("_b", F.size(F.filter("_s", lambda s: s < key)))
                .drop("_s"))
 
@@ -115,8 +120,9 @@ def running_totals(df: DataFrame, order_cols: list[str], value_cols: list[str],
         *by, "_b",
         *[(F.sum(v).over(wg) - F.col(v)).alias(f"_o_{v}") for v in value_cols],
         *[F.sum(v).over(wall).alias(f"total_{v}") for v in value_cols])
-    # offsets has at most groups x buckets rows, known on the driver: safe to broadcast.
-    joined = b.join(F.broadcast(offsets), by + ["_b"])
+    # inline path: offsets has at most _INLINE_GROUPS x buckets rows -> bounded broadcast;
+    # otherwise an ordinary (shuffle) join
+    joined = b.join(F.broadcast(offsets) if inline else offsets, by + ["_b"])
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     w = Window.partitionBy(*by, "_b").orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -89,3 +89,17 @@ def test_calibration_and_report(spark):
     assert rep["accuracy"].f1_score == pytest.approx((y == yhat).mean())
     sweep = {r.threshold: r for r in metrics.threshold_sweep(df).collect()}
     assert sweep[0.3].predicted_positive == int((p >= 0.3).sum())
+
+
+def test_running_totals_join_path_matches_inline(spark, monkeypatch):
+    import riskframe.functions.ordered as ordered
+    rng = np.random.default_rng(11)
+    rows = [(int(g), float(v), int(c)) for g, v, c in
+            zip(rng.integers(0, 4, 200), np.round(rng.normal(size=200), 1), rng.integers(1, 5, 200))]
+    df = spark.createDataFrame(rows, "g int, v double, c int")
+    inline = {(r.g, r.v, r.c, r.cum_c) for r in
+              ordered.running_totals(df, ["v", "c"], ["c"], by=["g"], n_buckets=4).collect()}
+    monkeypatch.setattr(ordered, "_INLINE_GROUPS", 1)
+    joined = {(r.g, r.v, r.c, r.cum_c) for r in
+              ordered.running_totals(df, ["v", "c"], ["c"], by=["g"], n_buckets=4).collect()}
+    assert inline == joined and len(inline) > 0
