@@ -17,6 +17,8 @@ the ranking metrics do this), so a hot value is a single row, not a hot bucket.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ from ..session import reuse
 _INLINE_SPLIT_LIMIT = 20_000
 # Above this many groups the per-group split points are not collected at all.
 _INLINE_GROUPS = 4_096
+# Target rows per bucket when the bucket count is derived from the data.
+_ROWS_PER_BUCKET = 200_000
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -81,21 +85,33 @@ def running_totals(df: DataFrame, order_cols: list[str], value_cols: list[str],
     """
     by = list(by)
     df = reuse(df)   # read twice: bucket boundaries, then the running sums
-    nb = n_buckets or default_buckets(df)
+    if n_buckets is None:
+        # buckets grow with the data (about _ROWS_PER_BUCKET rows each); the count also
+        # materialises the persisted input
+        n_rows = df.count()
+        nb = max(1, min(default_buckets(df), math.ceil(n_rows / _ROWS_PER_BUCKET)))
+    else:
+        nb = n_buckets
     key = F.col(order_cols[0])
-    probs = [i / nb for i in range(1, nb)]
-    accuracy = max(10_000, 20 * nb)
-    splits = (df.where(key.isNotNull()).groupBy(*by)
-                .agg(F.percentile_approx(key, probs, accuracy).alias("_s")))
-    # At most _INLINE_GROUPS rows come to the driver; more groups take the join path below,
-    # where nothing is collected or broadcast.
-    rows = splits.limit(_INLINE_GROUPS + 1).collect()
-    inline = len(rows) <= _INLINE_GROUPS
-    if inline:
-        groups = [([r[b] for b in by], sorted(set(r["_s"] or []))) for r in rows]
-        inline = sum(len(s) for _, s in groups) <= _INLINE_SPLIT_LIMIT
-
-    if inline:
+    if nb == 1:
+        inline, groups = True, []
+        b = df.withColumn("_b", F.lit(0))
+    else:
+        probs = [i / nb for i in range(1, nb)]
+        accuracy = max(10_000, 20 * nb)
+        splits = (df.where(key.isNotNull()).groupBy(*by)
+                    .agg(F.percentile_approx(key, probs, accuracy).alias("_s")))
+        # At most _INLINE_GROUPS rows come to the driver; more groups take the join path
+        # below, where nothing is collected or broadcast.
+        rows = splits.limit(_INLINE_GROUPS + 1).collect()
+        inline = len(rows) <= _INLINE_GROUPS
+        if inline:
+            groups = [([r[b] for b in by], sorted(set(r["_s"] or []))) for r in rows]
+            inline = sum(len(s) for _, s in groups) <= _INLINE_SPLIT_LIMIT
+
+    if nb == 1:
+        pass
+    elif inline:
         kq = f"`{order_cols[0]}`"
         if not by:
             sql = bucket_sql(kq, groups[0][1] if groups else [])
