@@ -103,3 +103,9 @@ def test_running_totals_join_path_matches_inline(spark, monkeypatch):
     joined = {(r.g, r.v, r.c, r.cum_c) for r in
               ordered.running_totals(df, ["v", "c"], ["c"], by=["g"], n_buckets=4).collect()}
     assert inline == joined and len(inline) > 0
+
+
+def test_chance_levels(spark):
+    df = spark.createDataFrame([(1, "a"), (0, "a"), (0, "a"), (1, "b")], "label int, model string")
+    got = {r.model: r.positive_rate for r in metrics.chance_levels(df, by=["model"]).collect()}
+    assert got == {"a": pytest.approx(1 / 3), "b": 1.0}
