@@ -62,9 +62,17 @@ def artifacts_exist(spark: SparkSession, root: str,
     """Check the scoring artifacts; returns (all present, list of missing parts)."""
     missing = []
     for m in models:
-        try:
-            spark.read.json(stage_path(root, "models", m, "model") + "/metadata").schema
-        except AnalysisException:
+        base = stage_path(root, "models", m, "model")
+        found = False
+        # a single Spark model has metadata/; a cluster bundle keeps it under kmeans/
+        for meta in (f"{base}/metadata", f"{base}/kmeans/metadata"):
+            try:
+                spark.read.json(meta).schema
+                found = True
+                break
+            except AnalysisException:
+                continue
+        if not found:
             missing.append(f"model {m}")
     try:
         load_processed(spark, root, "feature_matrix")
