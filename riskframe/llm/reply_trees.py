@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 from .common import staged
 
 ASSISTANT = "assistant"
-#: 2**MAX_STEPS is the greatest depth; deeper means a cycle.
-MAX_STEPS = 40
 
 
 def linear_nodes(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -54,9 +52,9 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     parents = jump.where("up is not null").select("conv", F.col("up").alias("node"), F.lit(1).alias("_inner")).distinct()
     jump = staged(jump, "tree-0")
     steps = [jump]
-    while steps[-1].where("up is not null").limit(1).count():
-        if len(steps) > MAX_STEPS:
-            break
+    largest = jump.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
+    # a path is no longer than its conversation has nodes; what still points up then is a cycle
+    while len(steps) <= largest.bit_length() and steps[-1].where("up is not null").limit(1).count():
         now = steps[-1]
         above = now.select("conv", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"),
                            F.col("score").alias("_score"))

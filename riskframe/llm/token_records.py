@@ -36,7 +36,7 @@ FILE_BYTES = 8 << 20
 #: Distinct pieces that a worker keeps encoded; beyond it starts anew.
 CACHE_PIECES = 1_500_000
 _NULL_ID = -(1 << 63)
-_HEAD = struct.Struct("<IBq")
+_HEAD = "<IBq"
 
 
 def masked(crc: int) -> int:
@@ -250,7 +250,7 @@ def write_records(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col:
                 out = []
                 for i in range(hi - lo):
                     doc = ids[lo + i]
-                    load = _HEAD.pack(int(size[i]) + 1, width, _NULL_ID if doc is None else doc) + got[cut[i]:cut[i + 1]] + tail
+                    load = struct.pack(_HEAD, int(size[i]) + 1, width, _NULL_ID if doc is None else doc) + got[cut[i]:cut[i + 1]] + tail
                     head = struct.pack("<Q", len(load))
                     out.append(b"".join((head, struct.pack("<I", masked(zlib.crc32(head))), load,
                                          struct.pack("<I", masked(zlib.crc32(load))))))
@@ -283,8 +283,8 @@ def parse(content: bytes) -> Iterator[tuple[int, int, int, np.ndarray]]:
         load = content[at + 12:at + 12 + size]
         if len(load) < size or masked(zlib.crc32(load)) != int.from_bytes(content[at + 12 + size:at + 16 + size], "little"):
             raise ValueError(f"the record at {at} is damaged")
-        n, width, doc = _HEAD.unpack_from(load)
-        yield at, size + 16, doc, np.frombuffer(load, f"<u{width}", n, _HEAD.size)
+        n, width, doc = struct.unpack_from(_HEAD, load)
+        yield at, size + 16, doc, np.frombuffer(load, f"<u{width}", n, struct.calcsize(_HEAD))
         at += size + 17
 
 
