@@ -91,8 +91,8 @@ def template_table(pages: DataFrame, depth: int = DEPTH, min_purity: float = MIN
         child = rows.where("_seg is not null").groupBy("host", "template", "_seg").agg(
             F.sum("labelled").alias("l"), F.sum("good").alias("g"))
         pooled = child.groupBy("host", "template").agg(
-            F.sum("l").alias("L"), F.sum("g").alias("G"), F.count(F.lit(1)).alias("children"))
-        rate = (F.col("G") + prior * weight) / (F.col("L") + weight)
+            F.sum("l").alias("all_l"), F.sum("g").alias("all_g"), F.count(F.lit(1)).alias("children"))
+        rate = (F.col("all_g") + prior * weight) / (F.col("all_l") + weight)
         z = F.abs(F.col("g") - F.col("l") * rate) / F.sqrt(F.col("l") * rate * (1 - rate) + 1e-9)
         own = (F.col("children") < many) | ((F.col("l") >= weight) & (z > MAX_Z))
         # only branches that become a wildcard are listed; the others keep their name
