@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_quality, mixing, reply_trees, token_records, url_templates
+from . import decontamination, jaccard_join, line_quality, mixing, reply_trees, token_records, url_templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -108,3 +108,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@register("op10_ngram_jaccard")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near copies."""
+    got = jaccard_join.join_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n_shingles", "component_id")

@@ -82,10 +82,10 @@ def template_table(pages: DataFrame, depth: int = DEPTH, min_purity: float = MIN
     groups = staged(pages.groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("n"), F.count("good").alias("labelled"),
         F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("good")), "url-groups")
-    total = groups.agg(F.sum("good").alias("g"), F.sum("labelled").alias("l")).first()
+    total = groups.agg(F.sum("good").alias("g"), F.sum("labelled").alias("l"), F.max(F.size("shape")).alias("deep")).first()
     prior = float(total["g"]) / total["l"] if total["l"] else 1.0
     tree = groups.withColumn("template", F.array().cast("array<string>"))
-    for level in range(1, depth + 1):
+    for level in range(1, min(depth, total["deep"] or 0) + 1):
         seg = F.get(F.col("shape"), F.lit(level - 1))
         rows = tree.withColumn("_seg", seg)
         child = rows.where("_seg is not null").groupBy("host", "template", "_seg").agg(
