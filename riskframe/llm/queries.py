@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, line_quality, mixing, reply_trees, token_records, url_templates
+from . import decontamination, jaccard_join, line_quality, mixing, reply_trees, suffix_dedup, token_records, url_templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,6 +30,13 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@register("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated 400-byte strings."""
+    got = suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op2_benchmark_decontamination", """
 WITH iw AS (SELECT CAST(item_id AS VARCHAR) AS item,
                    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
