@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, line_quality, mixing, reply_trees, suffix_dedup, token_records, url_templates
+from . import (decontamination, jaccard_join, language, line_quality, mixing, reply_trees, sentence_spans,
+               suffix_dedup, token_records, url_templates)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -73,6 +74,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+@register("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", language.held_out(F.col("doc_id")))
+    model = language.learn(docs.where("not held_out"))
+    return language.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register("op5_sentence_spans")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without repeated sentence runs."""
+    got = sentence_spans.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n_sentences", "n_removed", "clean_text")
+
+
 @register("op6_url_templates")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url.  A page's label is that of the document whose number ends its
