@@ -139,10 +139,13 @@ def suffix_array(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def kasai(s: np.ndarray, sa: np.ndarray, rank: np.ndarray, starts: np.ndarray, ends: np.ndarray, limit: int) -> np.ndarray:
-    """Common prefix, up to ``limit``, of each suffix with the one before it in ``sa``; all
-    pieces advance by one byte in step."""
+    """Common prefix, up to ``limit``, of the suffixes from ``starts`` to ``ends`` of each
+    piece with the one before in ``sa``; all pieces advance by one byte in step, and bytes
+    are compared by eights."""
     n = len(s)
-    pad = np.append(s, np.zeros(limit + 1, np.uint8))
+    pad = np.zeros(n + limit + 16, np.uint8)
+    pad[:n] = s
+    eight = np.ascontiguousarray(np.lib.stride_tricks.as_strided(pad, (n + limit + 8, 8), (1, 1))).view("<u8")[:, 0]
     lcp = np.zeros(n, np.int32)
     h = np.zeros(len(starts), np.int64)
     for p in range(int((ends - starts).max()) if len(starts) else 0):
@@ -150,13 +153,16 @@ def kasai(s: np.ndarray, sa: np.ndarray, rank: np.ndarray, starts: np.ndarray, e
         i = starts[lane] + p
         r = rank[i]
         j = sa[np.maximum(r - 1, 0)]
-        k = np.where(r > 0, np.maximum(h[lane] - 1, 0), 0)
-        go = np.flatnonzero((r > 0) & (k < limit))
+        k = np.maximum(h[lane] - 1, 0)
+        go = np.arange(len(lane))
         while len(go):
-            x, y = i[go] + k[go], j[go] + k[go]
-            same = (y < n) & (x < n) & (pad[np.minimum(x, n)] == pad[np.minimum(y, n)])
-            k[go] += same
-            go = go[same & (k[go] < limit)]
+            differ = eight[i[go] + k[go]] ^ eight[j[go] + k[go]]
+            low = differ & (~differ + np.uint64(1))           # its lowest bit tells the first byte that differs
+            equal = np.where(differ == 0, 8, np.log2(np.maximum(low, 1).astype(np.float64)).astype(np.int64) >> 3)
+            k[go] += equal
+            go = go[(equal == 8) & (k[go] < limit)]
+        # the end of the array is no byte to agree on
+        k = np.where(r > 0, np.minimum(np.minimum(k, limit), n - np.maximum(i, j)), 0)
         h[lane] = k
         lcp[r] = k
     return lcp
@@ -169,7 +175,7 @@ def shard_repeats(pieces: list[bytes], length: int) -> tuple[list[np.ndarray], n
     starts = np.append(0, np.cumsum(sizes + 1))[:-1]
     s = np.frombuffer(b"\xff".join(pieces) + b"\xff", np.uint8)     # no UTF-8 text has this byte
     sa, rank = suffix_array(s)
-    lcp = kasai(s, sa, rank, starts, starts + sizes, length)
+    lcp = kasai(s, sa, rank, starts, starts + sizes - length + 1, length)   # of windows only
     like = lcp >= length
     twice = np.zeros(len(s), bool)
     twice[sa] = like | np.append(like[1:], False)
