@@ -11,8 +11,8 @@ A document's set is its distinct ``n``-word shingles (words: runs of anything bu
 2. Equal sets are one node, named by a 128-bit digest.  Linked sets share a shingle among
    their first ``size - ceil(size * percent / 100) + 1``.  Prefix entries travel packed, one
    row per task and hash bucket, and buckets keep the shingles of two nodes or more.
-3. In every group of a shingle the least node is paired with the others; these pairs are
-   verified and joined up to components.  So a group of m near copies costs m pairs.
+3. In every group of a shingle the least node is paired with the others; of these pairs
+   those that pass the filters of step 4 are verified and joined up to components.  So a group of m near copies costs m pairs.
 4. What remains are pairs in a group whose nodes are in different components: a self-join
    by shingle with length, positional and suffix filters (sets are split into four hash
    ranges; the common part is at most the sum of the lesser counts).  Each pair is verified
@@ -205,19 +205,31 @@ def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: in
         many = np.diff(np.append(lead, len(h)))
         keep = np.repeat(many > 1, many)
         least = np.repeat(lead, many)[keep]
-        order, h = order[keep], h[keep]
+        far, order, h = order[least], order[keep], h[keep]
+        likely = _may_link_arrays(c, far, order, percent)
         name = np.stack([s1, s2], 1).astype(">u8")
         fixed = lambda x: pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(x), [None, pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())
         for lo in range(0, len(h), 100_000):
             at = slice(lo, lo + 100_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[at].view(np.int64)), fixed(name[keep][at]), fixed(name[least[at]]),
+                [pa.array(h[at].view(np.int64)), fixed(name[keep][at]), fixed(name[least[at]]), pa.array(likely[at]),
                  *[pa.array(c[x][order[at]].astype(np.int64)) for x in ("n", "pos", "q0", "q1", "q2", "q3")]],
-                names=["h", "node", "least", "n", "pos", "q0", "q1", "q2", "q3"])
+                names=["h", "node", "least", "likely", "n", "pos", "q0", "q1", "q2", "q3"])
 
     rows = docs.select(text_col).mapInArrow(emit, "bucket long, " + ", ".join(f"{x} binary" for x, _ in _ENTRY))
     return rows.groupBy("bucket").applyInArrow(
-        group, "h long, node binary, least binary, n long, pos long, q0 long, q1 long, q2 long, q3 long")
+        group, "h long, node binary, least binary, likely boolean, n long, pos long, q0 long, q1 long, q2 long, q3 long")
+
+
+def _may_link_arrays(c: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """The filters of ``_may_link`` for entries a[i] and b[i]."""
+    get = lambda name, at: c[name][at].astype(np.int64)
+    na, nb, pa_, pb = get("n", a), get("n", b), get("pos", a), get("pos", b)
+    need = percent * (na + nb)                                     # of (100 + percent) * intersection
+    ends = np.minimum(pa_, pb) + np.minimum(na - pa_, nb - pb)
+    parts = sum(np.minimum(get(f"q{i}", a), get(f"q{i}", b)) for i in range(4))
+    return ((100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & ((100 + percent) * ends >= need)
+            & ((100 + percent) * parts >= need))
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -234,7 +246,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str,
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts = wanted.join(nodes.groupBy(F.col("_node").alias("node")).agg(F.min("_text").alias("_text")), "node").select("_text")
     some = docs.select(F.xxhash64(F.col(text_col)).alias("_text"), F.col(text_col).alias("text")).join(
-        staged(texts.distinct(), "jaccard-texts"), "_text", "left_semi")
+        staged(texts.distinct(), "jaccard-texts"), "_text", "left_semi").dropDuplicates(["_text"])     # both by the hash of the text: one exchange
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -252,7 +264,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str,
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    found = staged(some.mapInArrow(sets, "node binary, s binary").dropDuplicates(["node"]), "jaccard-sets")
+    found = staged(some.select("text").mapInArrow(sets, "node binary, s binary"), "jaccard-sets")
     rows = pairs.select("a", "b").join(found.select(F.col("node").alias("b"), F.col("s").alias("_sb")), "b")
     rows = rows.join(found.select(F.col("node").alias("a"), F.col("s").alias("_sa")), "a")
     return rows.select("a", "b", "_sa", "_sb").mapInArrow(check, "a binary, b binary")
@@ -268,7 +280,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     size = base.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     groups = staged(prefix_groups(base, text_col, cells, max(1, -(-size // bucket_bytes)), n, percent), "jaccard-groups")
 
-    stars = groups.where("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    stars = groups.where("likely and least <> node").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     stars = staged(stars, "jaccard-stars")
     links = staged(verified(stars, base, nodes, text_col, n, percent), "jaccard-links")
     roots = components(links)
