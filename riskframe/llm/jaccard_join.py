@@ -11,8 +11,11 @@ A document's set is its distinct ``n``-word shingles (words: runs of anything bu
 2. Equal sets are one node, named by a 128-bit digest.  Linked sets share a shingle among
    their first ``size - ceil(size * percent / 100) + 1``.  Prefix entries travel packed, one
    row per task and hash bucket, and buckets keep the shingles of two nodes or more.
-3. In every group of a shingle the least node is paired with the others; of these pairs
-   those that pass the filters of step 4 are verified and joined up to components.  So a group of m near copies costs m pairs.
+3. In every group of a shingle one node, that with the most entries in common with others,
+   is paired with the others that pass the filters of step 4; the pairs are verified and
+   joined up to components.  Edited copies link with their original more than with each
+   other, and the original shares the most, so a group of m near copies costs about m
+   pairs.  This goes on for ``ROUNDS`` rounds with what is not in one component yet.
 4. What remains are pairs in a group whose nodes are in different components: a self-join
    by shingle with length, positional and suffix filters (sets are split into four hash
    ranges; the common part is at most the sum of the lesser counts).  Each pair is verified
@@ -42,6 +45,9 @@ SKETCH_BITS = 20
 #: Text bytes whose prefix entries make up one bucket, about.
 BUCKET_BYTES = 8 << 20
 FLUSH_ENTRIES = 1 << 20
+#: Rounds of pairing with one node of each group before all pairs that are left.
+ROUNDS = 2
+_COLS = ("node", "root", "n", "pos", "q0", "q1", "q2", "q3")
 RESULTS = ("n_shingles", "component_id")
 _ENTRY = (("h", np.uint64), ("s1", np.uint64), ("s2", np.uint64), ("n", np.uint32), ("pos", np.uint32),
           ("q0", np.uint32), ("q1", np.uint32), ("q2", np.uint32), ("q3", np.uint32))
@@ -143,7 +149,7 @@ def nodes_of(docs: DataFrame, text_col: str, n: int) -> DataFrame:
     """``docs`` with _node (digest of the set, null if empty), n_shingles and _text (a hash
     of the text, by which the text is found again)."""
     base = docs.withColumn("_text", F.xxhash64(F.col(text_col)))
-    schema = base.withColumns({"_node": F.lit(b""), "n_shingles": F.lit(0).cast("long")}).drop(text_col).schema
+    schema = base.withColumns({"_node": F.lit(None).cast("binary"), "n_shingles": F.lit(0).cast("long")}).drop(text_col).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -157,8 +163,7 @@ def nodes_of(docs: DataFrame, text_col: str, n: int) -> DataFrame:
 
 
 def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: int, n: int, percent: int) -> DataFrame:
-    """Prefix entries (h, node, n, pos, q0..q3) of the shingles that two nodes or more have,
-    and ``least``, the least node of the shingle."""
+    """Prefix entries (h, node, n, pos, q0..q3) of the shingles that two nodes or more have."""
     shared = docs.sparkSession.sparkContext.broadcast(cells)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,32 +209,19 @@ def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: in
         lead = np.flatnonzero(first)
         many = np.diff(np.append(lead, len(h)))
         keep = np.repeat(many > 1, many)
-        least = np.repeat(lead, many)[keep]
-        far, order, h = order[least], order[keep], h[keep]
-        likely = _may_link_arrays(c, far, order, percent)
+        order, h = order[keep], h[keep]
         name = np.stack([s1, s2], 1).astype(">u8")
         fixed = lambda x: pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(x), [None, pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())
         for lo in range(0, len(h), 100_000):
             at = slice(lo, lo + 100_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[at].view(np.int64)), fixed(name[keep][at]), fixed(name[least[at]]), pa.array(likely[at]),
+                [pa.array(h[at].view(np.int64)), fixed(name[keep][at]),
                  *[pa.array(c[x][order[at]].astype(np.int64)) for x in ("n", "pos", "q0", "q1", "q2", "q3")]],
-                names=["h", "node", "least", "likely", "n", "pos", "q0", "q1", "q2", "q3"])
+                names=["h", "node", "n", "pos", "q0", "q1", "q2", "q3"])
 
     rows = docs.select(text_col).mapInArrow(emit, "bucket long, " + ", ".join(f"{x} binary" for x, _ in _ENTRY))
     return rows.groupBy("bucket").applyInArrow(
-        group, "h long, node binary, least binary, likely boolean, n long, pos long, q0 long, q1 long, q2 long, q3 long")
-
-
-def _may_link_arrays(c: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """The filters of ``_may_link`` for entries a[i] and b[i]."""
-    get = lambda name, at: c[name][at].astype(np.int64)
-    na, nb, pa_, pb = get("n", a), get("n", b), get("pos", a), get("pos", b)
-    need = percent * (na + nb)                                     # of (100 + percent) * intersection
-    ends = np.minimum(pa_, pb) + np.minimum(na - pa_, nb - pb)
-    parts = sum(np.minimum(get(f"q{i}", a), get(f"q{i}", b)) for i in range(4))
-    return ((100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & ((100 + percent) * ends >= need)
-            & ((100 + percent) * parts >= need))
+        group, "h long, node binary, n long, pos long, q0 long, q1 long, q2 long, q3 long")
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -280,18 +272,30 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     size = base.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     groups = staged(prefix_groups(base, text_col, cells, max(1, -(-size // bucket_bytes)), n, percent), "jaccard-groups")
 
-    stars = groups.where("likely and least <> node").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    stars = staged(stars, "jaccard-stars")
-    links = staged(verified(stars, base, nodes, text_col, n, percent), "jaccard-links")
-    roots = components(links)
-
-    named = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_groups = named.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
-    named = staged(named.join(open_groups, "h", "left_semi"), "jaccard-open")
+    links, tried, named = None, None, groups.withColumn("root", F.col("node"))
+    for k in range(ROUNDS):
+        # the node that shares the most entries leads: an original more than its edited copies
+        weight = named.groupBy("h").agg(F.count(F.lit(1)).alias("many")).join(named, "h").groupBy("node").agg(
+            F.sum("many").alias("weight"))
+        heavy = staged(named.join(weight, "node"), f"jaccard-weights-{k}")
+        best = heavy.groupBy("h").agg(F.max(F.struct("weight", *_COLS)).alias("b")).select("h", "b.*")
+        stars = heavy.alias("a").join(best.alias("b"), (F.col("a.h") == F.col("b.h")) & (F.col("a.root") != F.col("b.root"))
+                                      & _may_link("a", "b", percent))
+        stars = stars.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+        if tried is not None:
+            stars = stars.join(tried, ["a", "b"], "left_anti")
+        stars = staged(stars, f"jaccard-stars-{k}")
+        tried = stars if tried is None else staged(tried.union(stars), f"jaccard-tried-{k}")
+        more = staged(verified(stars, base, nodes, text_col, n, percent), f"jaccard-links-{k}")
+        links = more if links is None else staged(links.union(more), f"jaccard-all-links-{k}")
+        roots = components(links, f"components-{k}")
+        named = named.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        open_groups = named.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
+        named = staged(named.join(open_groups, "h", "left_semi"), f"jaccard-open-{k}")
     a, b = named.alias("a"), named.alias("b")
     rest = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
                   & _may_link("a", "b", percent)).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    rest = staged(rest.join(stars, ["a", "b"], "left_anti"), "jaccard-rest")
+    rest = staged(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
     if rest.limit(1).count():
         more = verified(rest, base, nodes, text_col, n, percent)
         roots = components(links.union(more), "components-all")
