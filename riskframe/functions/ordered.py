@@ -75,13 +75,21 @@ def _group_sql(by: list[str], values) -> str:
     return " AND ".join(f"`{b}` <=> {sql_literal(v)}" for b, v in zip(by, values)) or "true"
 
 
+def _join_groups(left: DataFrame, right: DataFrame, by: list[str], how: str) -> DataFrame:
+    """Join on group columns where null equals null."""
+    names = {c: f"_r_{c}" for c in by}
+    other = right.withColumnsRenamed(names)
+    cond = [left[c].eqNullSafe(other[names[c]]) for c in by]
+    return left.join(other, cond, how).drop(*names.values())
+
+
 def running_totals(df: DataFrame, order_cols: list[str], value_cols: list[str],
                    by: list[str] | tuple = (), descending: bool = False,
                    n_buckets: int | None = None) -> DataFrame:
     """Append ``cum_<v>`` (inclusive running sum in sort order) and ``total_<v>`` per group.
 
     Rows are ordered by ``order_cols`` (the first one defines the buckets), ascending or
-    descending, within each ``by`` group.  ``by`` values must not be null.
+    descending, within each ``by`` group; null is a group of its own.
     """
     by = list(by)
     df = reuse(df)   # read twice: bucket boundaries, then the running sums
@@ -123,7 +131,7 @@ def running_totals(df: DataFrame, order_cols: list[str], value_cols: list[str],
         b = df.withColumn("_b", F.expr(sql))
     else:
         sorted_splits = splits.select(*by, F.array_sort(F.array_distinct("_s")).alias("_s"))
-        b = (df.join(sorted_splits, by, "left")
+        b = (_join_groups(df, sorted_splits, by, "left")
                .withColumn("_b", F.size(F.filter("_s", lambda s: s < key)))
                .drop("_s"))
 
@@ -138,7 +146,7 @@ def running_totals(df: DataFrame, order_cols: list[str], value_cols: list[str],
         *[F.sum(v).over(wall).alias(f"total_{v}") for v in value_cols])
     # inline path: offsets has at most _INLINE_GROUPS x buckets rows -> bounded broadcast;
     # otherwise an ordinary (shuffle) join
-    joined = b.join(F.broadcast(offsets) if inline else offsets, by + ["_b"])
+    joined = _join_groups(b, F.broadcast(offsets) if inline else offsets, by + ["_b"], "inner")
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     w = Window.partitionBy(*by, "_b").orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

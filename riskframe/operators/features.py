@@ -74,6 +74,9 @@ def rowwise_stats(cols: list[Column], prefix: str) -> list[Column]:
     mean = F.when(n > 0, total / n)
     ss = sum((F.coalesce((c - mean) * (c - mean), F.lit(0.0)) for c in cols), F.lit(0.0))
     std = F.when(n > 1, F.sqrt(ss / (n - 1)))
+    if len(cols) == 1:   # least and greatest take two or more
+        return [mean.alias(f"{prefix}_mean"), std.alias(f"{prefix}_std"),
+                cols[0].alias(f"{prefix}_min"), cols[0].alias(f"{prefix}_max")]
     return [mean.alias(f"{prefix}_mean"), std.alias(f"{prefix}_std"),
             F.least(*cols).alias(f"{prefix}_min"), F.greatest(*cols).alias(f"{prefix}_max")]
 

@@ -55,8 +55,6 @@ CATALOG: dict[str, TableSpec] = {s.name: s for s in [
     TableSpec("credit_card_balance", "credit_card_balance.csv", NESTED,
               ("SK_ID_PREV", "MONTHS_BALANCE"), "SK_ID_PREV", "optional",
               "monthly credit card balances"),
-    TableSpec("HomeCredit_columns_description", "HomeCredit_columns_description.csv", METADATA,
-              (), None, "optional", "data dictionary, not model data"),
 ]}
 
 REQUIRED_TABLES = [k for k, v in CATALOG.items() if v.priority == "required"]

@@ -110,3 +110,10 @@ def test_matrix_fills_only_count_columns(spark):
     assert len(m) == 4
     assert m[2].PREV_COUNT == 0 and m[2].PREV_APPROVED_COUNT == 0
     assert m[2].PREV_APPROVAL_RATE is None and m[2].PREV_CONTRACT_TYPE_NUNIQUE is None
+
+
+def test_rowwise_stats_with_one_column(spark):
+    from pyspark.sql import functions as F
+    from riskframe.operators.features import rowwise_stats
+    row = spark.sql("select 2.0D as x").select(*rowwise_stats([F.col("x")], "s")).first()
+    assert (row.s_mean, row.s_std, row.s_min, row.s_max) == (2.0, None, 2.0, 2.0)

@@ -109,3 +109,13 @@ def test_chance_levels(spark):
     df = spark.createDataFrame([(1, "a"), (0, "a"), (0, "a"), (1, "b")], "label int, model string")
     got = {r.model: r.positive_rate for r in metrics.chance_levels(df, by=["model"]).collect()}
     assert got == {"a": pytest.approx(1 / 3), "b": 1.0}
+
+
+def test_running_totals_keep_null_groups(spark):
+    from pyspark.sql import functions as F
+    from riskframe.functions.ordered import running_totals
+    df = spark.range(100).select("id", F.when(F.col("id") % 10 > 0, F.col("id") % 3).alias("g"), F.lit(1).alias("v"))
+    for buckets in (1, 4):
+        got = running_totals(df, ["id"], ["v"], by=["g"], n_buckets=buckets)
+        rows = {(r.g, r.id): (r.cum_v, r.total_v) for r in got.collect()}
+        assert len(rows) == 100 and rows[(None, 90)] == (10, 10)
