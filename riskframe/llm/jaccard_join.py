@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, slices, span_hashes, staged, utf8_column, window_hashes, without, word_bounds
+from .common import LOWER, discard, slices, span_hashes, staged, utf8_column, window_hashes, without, word_bounds
 from .components import components
 
 N_WORDS = 5
@@ -47,6 +47,8 @@ BUCKET_BYTES = 8 << 20
 FLUSH_ENTRIES = 1 << 20
 #: Rounds of pairing with one node of each group before all pairs that are left.
 ROUNDS = 2
+#: Passes of a verification; each moves its part of the pairs with their sets.
+PASSES = 4
 _COLS = ("node", "root", "n", "pos", "q0", "q1", "q2", "q3")
 RESULTS = ("n_shingles", "component_id")
 _ENTRY = (("h", np.uint64), ("s1", np.uint64), ("s2", np.uint64), ("n", np.uint32), ("pos", np.uint32),
@@ -257,9 +259,16 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str,
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     found = staged(some.select("text").mapInArrow(sets, "node binary, s binary"), "jaccard-sets")
-    rows = pairs.select("a", "b").join(found.select(F.col("node").alias("b"), F.col("s").alias("_sb")), "b")
-    rows = rows.join(found.select(F.col("node").alias("a"), F.col("s").alias("_sa")), "a")
-    return rows.select("a", "b", "_sa", "_sb").mapInArrow(check, "a binary, b binary")
+    # in passes, so that the sets on their way at one time are a part of all
+    out = None
+    for k in range(PASSES):
+        part = pairs.select("a", "b").where(F.pmod(F.xxhash64("a", "b"), F.lit(PASSES)) == k)
+        rows = part.join(found.select(F.col("node").alias("b"), F.col("s").alias("_sb")), "b")
+        rows = rows.join(found.select(F.col("node").alias("a"), F.col("s").alias("_sa")), "a")
+        links = staged(rows.select("a", "b", "_sa", "_sb").mapInArrow(check, "a binary, b binary"), "jaccard-verified")
+        out = links if out is None else out.union(links)
+    discard(found)
+    return out
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N_WORDS,
