@@ -68,9 +68,13 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     leaves = leaves.withColumn("path", F.row_number().over(rank)).where(F.col("path") <= branches)
     found = leaves.select("conv", "path", "node", "depth")
     for k, step in reversed(list(enumerate(steps))):
-        far = step.where("up is not null").select("conv", "node", "up")
-        found = found.unionByName(found.join(far, ["conv", "node"]).select(
-            "conv", "path", F.col("up").alias("node"), (F.col("depth") - (1 << k)).alias("depth")))
+        far = step.where("up is not null").select("conv", "node", F.col("up").cast(step.schema["node"].dataType).alias("up"))
+        # read once a step: a union with itself would double the plan every time
+        here = F.struct("node", "depth")
+        above = F.struct(F.col("up").alias("node"), (F.col("depth") - (1 << k)).alias("depth"))
+        at = F.when(F.col("up").isNull(), F.array(here)).otherwise(F.array(here, above))
+        found = found.join(far, ["conv", "node"], "left").select("conv", "path", F.explode(at).alias("at")) \
+            .select("conv", "path", "at.node", "at.depth")
     return found
 
 
