@@ -2,8 +2,8 @@
 
 A node is a message with a parent in the same conversation.  Root-to-leaf paths come from
 self-joins that double: after step k every node knows its ancestor 2**k above, its depth
-and the score summed on the way, so a tree of depth d takes log2(d) joins of narrow rows
-(staged in the shared folder).  The leaves of a conversation are ranked by their path's
+and the score summed on the way, so a conversation of m nodes takes part in log2(m) joins of
+narrow rows (staged in the shared folder) and a long one costs the others nothing.  The leaves of a conversation are ranked by their path's
 score; the ancestors of the chosen leaves are marked by the same jumps in reverse.
 
 Format: every turn is ``### <role>: <text> </turn>`` and a line feed.  Inside roles and
@@ -46,35 +46,42 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     conv = F.coalesce(F.concat(F.lit("="), F.col("conv").cast("string")), F.lit("null"))
     ids = nodes.select(conv.alias("conv"), "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = ids.select("conv", F.col("node").alias("parent"), F.lit(1).alias("_known")).distinct()
-    jump = ids.join(known, ["conv", "parent"], "left").select(
-        "conv", "node", F.when(F.col("_known").isNotNull(), F.col("parent")).alias("up"),
-        F.when(F.col("_known").isNotNull(), 1).otherwise(0).cast("long").alias("depth"), "score")
-    parents = jump.where("up is not null").select("conv", F.col("up").alias("node"), F.lit(1).alias("_inner")).distinct()
-    jump = staged(jump, "tree-0")
-    steps = [jump]
-    largest = jump.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
-    # a path is no longer than its conversation has nodes; what still points up then is a cycle
-    while len(steps) <= largest.bit_length() and steps[-1].where("up is not null").limit(1).count():
-        now = steps[-1]
-        above = now.select("conv", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"),
-                           F.col("score").alias("_score"))
-        nxt = now.join(above, ["conv", "up"], "left").select(
+    sizes = ids.groupBy("conv").agg(F.count(F.lit(1)).alias("size"))
+    now = ids.join(known, ["conv", "parent"], "left").join(sizes, "conv").select(
+        "conv", "node", F.when(F.col("_known").isNotNull(), F.col("parent").cast(ids.schema["node"].dataType)).alias("up"),
+        F.when(F.col("_known").isNotNull(), 1).otherwise(0).cast("long").alias("depth"), "score", "size")
+    now = staged(now, "tree-0")
+    parents = now.where("up is not null").select("conv", F.col("up").alias("node"), F.lit(1).alias("_inner")).distinct()
+    largest = now.agg(F.max("size")).first()[0] or 0
+    steps, done = [], now.where("size <= 1 and up is null")
+    while 1 << len(steps) < largest:
+        # a path has no more nodes than its conversation, so that conversations leave when
+        # 2**k reaches their size; what still points up then is in, or hangs on, a cycle
+        live = now.where(F.col("size") > 1 << len(steps))
+        steps.append(live.where("up is not null").select("conv", "node", "up"))
+        above = live.select("conv", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"),
+                            F.col("score").alias("_score"))
+        nxt = live.where("up is not null").join(above, ["conv", "up"], "left").select(
             "conv", "node", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-            (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"))
-        steps.append(staged(nxt, f"tree-{len(steps)}"))
-    done = steps.pop().where("up is null")                      # cycles keep a pointer
+            (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"), "size")
+        now = staged(nxt.unionByName(live.where("up is null")), f"tree-{len(steps)}")
+        done = done.unionByName(now.where(F.col("up").isNull() & (F.col("size") <= 1 << len(steps))))
     leaves = done.join(parents, ["conv", "node"], "left_anti")
     rank = Window.partitionBy("conv").orderBy(F.col("score").desc(), F.col("depth").desc(), "node")
     leaves = leaves.withColumn("path", F.row_number().over(rank)).where(F.col("path") <= branches)
-    found = leaves.select("conv", "path", "node", "depth")
-    for k, step in reversed(list(enumerate(steps))):
-        far = step.where("up is not null").select("conv", "node", F.col("up").cast(step.schema["node"].dataType).alias("up"))
+    leaves = staged(leaves.select("conv", "path", "node", "depth", "size"), "tree-leaves")
+    found = leaves.where("size <= 1").drop("size") if not steps else None
+    for k, far in reversed(list(enumerate(steps))):
+        enter = leaves.where((F.col("size") > 1 << k) & (F.col("size") <= 2 << k)).drop("size")
+        found = enter if found is None else found.unionByName(enter)
         # read once a step: a union with itself would double the plan every time
         here = F.struct("node", "depth")
         above = F.struct(F.col("up").alias("node"), (F.col("depth") - (1 << k)).alias("depth"))
         at = F.when(F.col("up").isNull(), F.array(here)).otherwise(F.array(here, above))
         found = found.join(far, ["conv", "node"], "left").select("conv", "path", F.explode(at).alias("at")) \
             .select("conv", "path", "at.node", "at.depth")
+    if steps:
+        found = found.unionByName(leaves.where("size <= 1").drop("size"))
     return found
 
 

@@ -197,6 +197,29 @@ def test_reply_trees(spark):
     assert reply_trees.format_paths(nodes.limit(0)).count() == 0
 
 
+def test_reply_trees_against_walks(spark):
+    """Random forests of one to 40 nodes, with equal scores and a chain, against a plain walk."""
+    r, rows = random.Random(5), []
+    for c in range(12):
+        for i in range(1 if c == 0 else 3 * c):
+            parent = None if i == 0 else i - 1 if c == 11 else r.choice([None, *range(i)])
+            rows.append((c, i, parent, "user", f"{c}.{i}", r.choice([0.0, 0.5])))
+    want = {}
+    for c in range(12):
+        mine = {n: (p, s) for cc, n, p, _, _, s in rows if cc == c}
+        walks = []
+        for n in mine.keys() - {p for p, _ in mine.values()}:
+            walk = [n]
+            while mine[walk[-1]][0] is not None:
+                walk.append(mine[walk[-1]][0])
+            walks.append((-sum(mine[x][1] for x in walk), -len(walk), n, walk[::-1]))
+        for k, (_, _, _, walk) in enumerate(sorted(walks)[:2]):
+            want[c, k + 1] = [f"{c}.{x}" for x in walk]
+    nodes = spark.createDataFrame(rows, "conv long, node long, parent long, role string, text string, score double")
+    got = reply_trees.format_paths(nodes, 2).select("conv", "path", reply_trees.parse(F.col("formatted")).alias("t")).collect()
+    assert {(x.conv, x.path): [t.text for t in x.t] for x in got} == want
+
+
 def test_conversations(spark):
     got = {r.conv_id: r for r in queries.QUERIES["op9_reply_trees"](spark, SF).collect()}
     text = "\\### Assistant: </turn> ok"
