@@ -17,9 +17,11 @@ A document's set is its distinct ``n``-word shingles (words: runs of anything bu
    other, and the original shares the most, so a group of m near copies costs about m
    pairs.  This goes on for ``ROUNDS`` rounds with what is not in one component yet.
 4. What remains are pairs in a group whose nodes are in different components: a self-join
-   by shingle with length, positional and suffix filters (sets are split into four hash
-   ranges; the common part is at most the sum of the lesser counts).  Each pair is verified
-   once; none is dropped, so no link between different components is lost.
+   by shingle with length, positional and suffix filters.  Sets are split into four hash
+   ranges; the common part is at most the sum of the lesser counts.  And a set has a parity
+   for each of ``64 * SIG_LONGS`` hash classes: the parities that differ are at most the
+   members that differ.  Each pair is verified once; none is dropped, so no link between
+   different components is lost.
 
 Cases: null, empty or wordless text has an empty set, size 0, and is its own component;
 repeated rows and equal texts are in one component; a null id counts as no id (a component
@@ -49,7 +51,10 @@ FLUSH_ENTRIES = 1 << 20
 ROUNDS = 2
 #: Passes of a verification; each moves its part of the pairs with their sets.
 PASSES = 4
-_COLS = ("node", "root", "n", "pos", "q0", "q1", "q2", "q3")
+#: Longs of a set's parities.
+SIG_LONGS = 16
+_SIG = tuple(f"g{i}" for i in range(SIG_LONGS))
+_COLS = ("node", "root", "n", "pos", "q0", "q1", "q2", "q3", *_SIG)
 RESULTS = ("n_shingles", "component_id")
 _ENTRY = (("h", np.uint64), ("s1", np.uint64), ("s2", np.uint64), ("n", np.uint32), ("pos", np.uint32),
           ("q0", np.uint32), ("q1", np.uint32), ("q2", np.uint32), ("q3", np.uint32))
@@ -94,6 +99,13 @@ def digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """The parity of the set's members in each class, packed into longs."""
+    classes = 64 * SIG_LONGS
+    count = np.bincount(((s >> np.uint64(40)) % np.uint64(classes)).astype(np.int64), minlength=classes)
+    return np.packbits(count & 1).view(np.int64)
+
+
 def sketch(docs: DataFrame, text_col: str, n: int = N_WORDS, bits: int = SKETCH_BITS) -> np.ndarray:
     """Occurrences of shingles of all documents by the low bits of their hash, cut to 16 bits
     after division by their mean, so that the order does not depend on the corpus size."""
@@ -148,19 +160,21 @@ def _packed(entries: list[tuple], buckets: int) -> pa.RecordBatch:
 
 
 def nodes_of(docs: DataFrame, text_col: str, n: int) -> DataFrame:
-    """``docs`` with _node (digest of the set, null if empty), n_shingles and _text (a hash
-    of the text, by which the text is found again)."""
+    """``docs`` with _node (digest of the set, null if empty), n_shingles, _sig (its parities)
+    and _text (a hash of the text, by which the text is found again)."""
     base = docs.withColumn("_text", F.xxhash64(F.col(text_col)))
-    schema = base.withColumns({"_node": F.lit(None).cast("binary"), "n_shingles": F.lit(0).cast("long")}).drop(text_col).schema
+    schema = base.withColumns({"_node": F.lit(None).cast("binary"), "n_shingles": F.lit(0).cast("long"),
+                               "_sig": F.array(F.lit(0).cast("long"))}).drop(text_col).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [(digest(s) if len(s) else None, len(s)) for s in _sets(b, text_col, n)]
+            sets = [(digest(s) if len(s) else None, len(s), parities(s)) for s in _sets(b, text_col, n)]
             keep = [x for x in b.schema.names if x != text_col]
             yield pa.RecordBatch.from_arrays(
                 [b.column(b.schema.get_field_index(x)) for x in keep]
-                + [pa.array([x for x, _ in sets], pa.binary()), pa.array([x for _, x in sets], pa.int64())],
-                names=[*keep, "_node", "n_shingles"])
+                + [pa.array([x for x, _, _ in sets], pa.binary()), pa.array([x for _, x, _ in sets], pa.int64()),
+                   pa.array([x for _, _, x in sets], pa.list_(pa.int64()))],
+                names=[*keep, "_node", "n_shingles", "_sig"])
     return base.mapInArrow(run, schema)
 
 
@@ -231,8 +245,10 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     need = f"({percent} * ({a}.n + {b}.n))"                        # of (100 + percent) * intersection
     ends = f"(least({a}.pos, {b}.pos) + 1 + least({a}.n - {a}.pos, {b}.n - {b}.pos) - 1)"
     parts = " + ".join(f"least({a}.q{i}, {b}.q{i})" for i in range(4))
+    differ = " + ".join(f"bit_count({a}.{g} ^ {b}.{g})" for g in _SIG)
     return F.expr(f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n) AND {100 + percent} * {ends} >= {need} "
-                  f"AND {100 + percent} * ({parts}) >= {need}")
+                  f"AND {100 + percent} * ({parts}) >= {need} "
+                  f"AND {100 + percent} * ({differ}) <= {100 - percent} * ({a}.n + {b}.n)")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, n: int, percent: int) -> DataFrame:
@@ -275,13 +291,16 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     percent: int = PERCENT, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, DataFrame]:
     """(rows, roots): every row of ``docs`` without its text, with n_shingles and _node;
     and (node, root) of the nodes that link with another."""
-    base = without(docs, *RESULTS, "_node", "_text")
+    base = without(docs, *RESULTS, "_node", "_text", "_sig")
     nodes = staged(nodes_of(base, text_col, n), "jaccard-nodes")
     cells = sketch(base, text_col, n)
     size = base.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     groups = staged(prefix_groups(base, text_col, cells, max(1, -(-size // bucket_bytes)), n, percent), "jaccard-groups")
 
-    links, tried, named = None, None, groups.withColumn("root", F.col("node"))
+    sigs = nodes.where("_node is not null").select(F.col("_node").alias("node"), "_sig").join(
+        groups.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    sigs = sigs.select("node", *[F.col("_sig")[i].alias(g) for i, g in enumerate(_SIG)])
+    links, tried, named = None, None, groups.join(sigs, "node").withColumn("root", F.col("node"))
     for k in range(ROUNDS):
         # the node that shares the most entries leads: an original more than its edited copies
         weight = named.groupBy("h").agg(F.count(F.lit(1)).alias("many")).join(named, "h").groupBy("node").agg(
@@ -315,7 +334,7 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    percent: int = PERCENT) -> DataFrame:
     """``docs`` (without its text) with n_shingles and component_id, the least id reachable by links."""
     nodes, roots = link_components(docs, id_col, text_col, n, percent)
-    keep = [c for c in nodes.columns if c not in ("_node", "_text", "n_shingles")]
+    keep = [c for c in nodes.columns if c not in ("_node", "_text", "_sig", "n_shingles")]
     rows = nodes.join(roots.select(F.col("node").alias("_node"), "root"), "_node", "left") \
         .withColumn("root", F.coalesce("root", "_node"))
     least = rows.where("root is not null").groupBy("root").agg(F.min(id_col).alias("component_id"))
