@@ -53,11 +53,10 @@ ROUNDS = 2
 PASSES = 4
 #: Longs of a set's parities.
 SIG_LONGS = 16
-_SIG = tuple(f"g{i}" for i in range(SIG_LONGS))
-_COLS = ("node", "root", "n", "pos", "q0", "q1", "q2", "q3", *_SIG)
+_QUARTERS = ("q0", "q1", "q2", "q3")
+_PARITIES = tuple(f"g{i}" for i in range(SIG_LONGS))
 RESULTS = ("n_shingles", "component_id")
-_ENTRY = (("h", np.uint64), ("s1", np.uint64), ("s2", np.uint64), ("n", np.uint32), ("pos", np.uint32),
-          ("q0", np.uint32), ("q1", np.uint32), ("q2", np.uint32), ("q3", np.uint32))
+_ENTRY = (("h", np.uint64), ("s1", np.uint64), ("s2", np.uint64), ("n", np.uint32), ("pos", np.uint32))
 
 
 def _spaces() -> np.ndarray:
@@ -99,11 +98,13 @@ def digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def parities(s: np.ndarray) -> np.ndarray:
-    """The parity of the set's members in each class, packed into longs."""
+def signature(s: np.ndarray) -> np.ndarray:
+    """For the suffix filters: members of the set in each quarter of the hashes, and the
+    parity of its members in each hash class, packed into longs."""
+    quarter = np.diff(np.searchsorted(s, np.arange(1, 4, dtype=np.uint64) << np.uint64(62)), prepend=0, append=len(s))
     classes = 64 * SIG_LONGS
     count = np.bincount(((s >> np.uint64(40)) % np.uint64(classes)).astype(np.int64), minlength=classes)
-    return np.packbits(count & 1).view(np.int64)
+    return np.append(quarter.astype(np.int64), np.packbits(count & 1).view(np.int64))
 
 
 def sketch(docs: DataFrame, text_col: str, n: int = N_WORDS, bits: int = SKETCH_BITS) -> np.ndarray:
@@ -160,7 +161,7 @@ def _packed(entries: list[tuple], buckets: int) -> pa.RecordBatch:
 
 
 def nodes_of(docs: DataFrame, text_col: str, n: int) -> DataFrame:
-    """``docs`` with _node (digest of the set, null if empty), n_shingles, _sig (its parities)
+    """``docs`` with _node (digest of the set, null if empty), n_shingles, _sig (its signature)
     and _text (a hash of the text, by which the text is found again)."""
     base = docs.withColumn("_text", F.xxhash64(F.col(text_col)))
     schema = base.withColumns({"_node": F.lit(None).cast("binary"), "n_shingles": F.lit(0).cast("long"),
@@ -168,7 +169,7 @@ def nodes_of(docs: DataFrame, text_col: str, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [(digest(s) if len(s) else None, len(s), parities(s)) for s in _sets(b, text_col, n)]
+            sets = [(digest(s) if len(s) else None, len(s), signature(s)) for s in _sets(b, text_col, n)]
             keep = [x for x in b.schema.names if x != text_col]
             yield pa.RecordBatch.from_arrays(
                 [b.column(b.schema.get_field_index(x)) for x in keep]
@@ -179,7 +180,7 @@ def nodes_of(docs: DataFrame, text_col: str, n: int) -> DataFrame:
 
 
 def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: int, n: int, percent: int) -> DataFrame:
-    """Prefix entries (h, node, n, pos, q0..q3) of the shingles that two nodes or more have."""
+    """Prefix entries (h, node, n, pos) of the shingles that two nodes or more have."""
     shared = docs.sparkSession.sparkContext.broadcast(cells)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,9 +194,8 @@ def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: in
                 p = prefix_length(len(s), percent)
                 h = s[np.argsort(count[(s & mask).astype(np.int64)], kind="stable")[:p]]
                 d = np.frombuffer(digest(s), ">u8")
-                q = np.diff(np.searchsorted(s, np.arange(1, 4, dtype=np.uint64) << np.uint64(62)), prepend=0, append=len(s))
                 held.append((h, np.full(p, d[0], np.uint64), np.full(p, d[1], np.uint64), np.full(p, len(s), np.uint32),
-                             np.arange(p, dtype=np.uint32), *[np.full(p, x, np.uint32) for x in q]))
+                             np.arange(p, dtype=np.uint32)))
                 size += p
                 if size >= FLUSH_ENTRIES:
                     yield _packed(held, buckets)
@@ -232,22 +232,25 @@ def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: in
             at = slice(lo, lo + 100_000)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h[at].view(np.int64)), fixed(name[keep][at]),
-                 *[pa.array(c[x][order[at]].astype(np.int64)) for x in ("n", "pos", "q0", "q1", "q2", "q3")]],
-                names=["h", "node", "n", "pos", "q0", "q1", "q2", "q3"])
+                 *[pa.array(c[x][order[at]].astype(np.int64)) for x in ("n", "pos")]],
+                names=["h", "node", "n", "pos"])
 
     rows = docs.select(text_col).mapInArrow(emit, "bucket long, " + ", ".join(f"{x} binary" for x, _ in _ENTRY))
-    return rows.groupBy("bucket").applyInArrow(
-        group, "h long, node binary, n long, pos long, q0 long, q1 long, q2 long, q3 long")
+    return rows.groupBy("bucket").applyInArrow(group, "h long, node binary, n long, pos long")
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
-    """Length, positional and suffix filters of two entries of one shingle."""
-    need = f"({percent} * ({a}.n + {b}.n))"                        # of (100 + percent) * intersection
+    """Length and positional filters of two entries of one shingle."""
     ends = f"(least({a}.pos, {b}.pos) + 1 + least({a}.n - {a}.pos, {b}.n - {b}.pos) - 1)"
-    parts = " + ".join(f"least({a}.q{i}, {b}.q{i})" for i in range(4))
-    differ = " + ".join(f"bit_count({a}.{g} ^ {b}.{g})" for g in _SIG)
-    return F.expr(f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n) AND {100 + percent} * {ends} >= {need} "
-                  f"AND {100 + percent} * ({parts}) >= {need} "
+    return F.expr(f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n) "
+                  f"AND {100 + percent} * {ends} >= {percent} * ({a}.n + {b}.n)")
+
+
+def _suffixes_allow(a: str, b: str, percent: int) -> Column:
+    """Suffix filters: the common part that the quarters leave, the difference that the parities show."""
+    common = " + ".join(f"least({a}.{q}, {b}.{q})" for q in _QUARTERS)
+    differ = " + ".join(f"bit_count({a}.{g} ^ {b}.{g})" for g in _PARITIES)
+    return F.expr(f"{100 + percent} * ({common}) >= {percent} * ({a}.n + {b}.n) "
                   f"AND {100 + percent} * ({differ}) <= {100 - percent} * ({a}.n + {b}.n)")
 
 
@@ -297,22 +300,26 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     size = base.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     groups = staged(prefix_groups(base, text_col, cells, max(1, -(-size // bucket_bytes)), n, percent), "jaccard-groups")
 
-    sigs = nodes.where("_node is not null").select(F.col("_node").alias("node"), "_sig").join(
+    sigs = nodes.where("_node is not null").select(F.col("_node").alias("node"), F.col("n_shingles").alias("n"), "_sig").join(
         groups.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    sigs = sigs.select("node", *[F.col("_sig")[i].alias(g) for i, g in enumerate(_SIG)])
-    links, tried, named = None, None, groups.join(sigs, "node").withColumn("root", F.col("node"))
+    sigs = staged(sigs.select("node", "n", *[F.col("_sig")[i].alias(c) for i, c in enumerate(_QUARTERS + _PARITIES)]),
+                  "jaccard-signatures")
+    links, tried, named = None, None, groups.withColumn("root", F.col("node"))
     for k in range(ROUNDS):
         # the node that shares the most entries leads: an original more than its edited copies
         weight = named.groupBy("h").agg(F.count(F.lit(1)).alias("many")).join(named, "h").groupBy("node").agg(
             F.sum("many").alias("weight"))
         heavy = staged(named.join(weight, "node"), f"jaccard-weights-{k}")
-        best = heavy.groupBy("h").agg(F.max(F.struct("weight", *_COLS)).alias("b")).select("h", "b.*")
+        best = heavy.groupBy("h").agg(F.max(F.struct("weight", "node", "root", "n", "pos")).alias("b")).select("h", "b.*")
         stars = heavy.alias("a").join(best.alias("b"), (F.col("a.h") == F.col("b.h")) & (F.col("a.root") != F.col("b.root"))
                                       & _may_link("a", "b", percent))
         stars = stars.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
         if tried is not None:
             stars = stars.join(tried, ["a", "b"], "left_anti")
+        stars = stars.alias("p").join(sigs.alias("x"), F.col("p.a") == F.col("x.node")).join(
+            sigs.alias("y"), F.col("p.b") == F.col("y.node")).where(_suffixes_allow("x", "y", percent)).select("p.a", "p.b")
         stars = staged(stars, f"jaccard-stars-{k}")
+        discard(heavy)
         tried = stars if tried is None else staged(tried.union(stars), f"jaccard-tried-{k}")
         more = staged(verified(stars, base, nodes, text_col, n, percent), f"jaccard-links-{k}")
         links = more if links is None else staged(links.union(more), f"jaccard-all-links-{k}")
@@ -320,9 +327,11 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         named = named.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         open_groups = named.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
         named = staged(named.join(open_groups, "h", "left_semi"), f"jaccard-open-{k}")
-    a, b = named.alias("a"), named.alias("b")
+    signed = named.join(sigs.drop("n"), "node")
+    a, b = signed.alias("a"), signed.alias("b")
     rest = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
-                  & _may_link("a", "b", percent)).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+                  & _may_link("a", "b", percent) & _suffixes_allow("a", "b", percent)).select(
+        F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
     rest = staged(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
     if rest.limit(1).count():
         more = verified(rest, base, nodes, text_col, n, percent)
