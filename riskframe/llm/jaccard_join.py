@@ -15,13 +15,15 @@ A document's set is its distinct ``n``-word shingles (words: runs of anything bu
    is paired with the others that pass the filters of step 4; the pairs are verified and
    joined up to components.  Edited copies link with their original more than with each
    other, and the original shares the most, so a group of m near copies costs about m
-   pairs.  This goes on for ``ROUNDS`` rounds with what is not in one component yet.
+   pairs.
 4. What remains are pairs in a group whose nodes are in different components: a self-join
    by shingle with length, positional and suffix filters.  Sets are split into four hash
    ranges; the common part is at most the sum of the lesser counts.  And a set has a parity
    for each of ``64 * SIG_LONGS`` hash classes: the parities that differ are at most the
-   members that differ.  Each pair is verified once; none is dropped, so no link between
-   different components is lost.
+   members that differ.  Of these pairs, each node's most promising one (fewest differing
+   parities for its size) is verified first; pairs whose nodes are in one component by then
+   need no verification, all others are verified.  Each pair is verified once at most, and
+   no link between different components is lost.
 
 Cases: null, empty or wordless text has an empty set, size 0, and is its own component;
 repeated rows and equal texts are in one component; a null id counts as no id (a component
@@ -47,10 +49,6 @@ SKETCH_BITS = 20
 #: Text bytes whose prefix entries make up one bucket, about.
 BUCKET_BYTES = 8 << 20
 FLUSH_ENTRIES = 1 << 20
-#: Rounds of pairing with one node of each group before all pairs that are left.
-ROUNDS = 2
-#: Passes of a verification; each moves its part of the pairs with their sets.
-PASSES = 4
 #: Longs of a set's parities.
 SIG_LONGS = 16
 _QUARTERS = ("q0", "q1", "q2", "q3")
@@ -246,12 +244,16 @@ def _may_link(a: str, b: str, percent: int) -> Column:
                   f"AND {100 + percent} * {ends} >= {percent} * ({a}.n + {b}.n)")
 
 
+def _differ(a: str, b: str) -> str:
+    """Classes of different parity: at most the members that differ."""
+    return "(" + " + ".join(f"bit_count({a}.{g} ^ {b}.{g})" for g in _PARITIES) + ")"
+
+
 def _suffixes_allow(a: str, b: str, percent: int) -> Column:
     """Suffix filters: the common part that the quarters leave, the difference that the parities show."""
     common = " + ".join(f"least({a}.{q}, {b}.{q})" for q in _QUARTERS)
-    differ = " + ".join(f"bit_count({a}.{g} ^ {b}.{g})" for g in _PARITIES)
     return F.expr(f"{100 + percent} * ({common}) >= {percent} * ({a}.n + {b}.n) "
-                  f"AND {100 + percent} * ({differ}) <= {100 - percent} * ({a}.n + {b}.n)")
+                  f"AND {100 + percent} * {_differ(a, b)} <= {100 - percent} * ({a}.n + {b}.n)")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, n: int, percent: int) -> DataFrame:
@@ -278,14 +280,9 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str,
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     found = staged(some.select("text").mapInArrow(sets, "node binary, s binary"), "jaccard-sets")
-    # in passes, so that the sets on their way at one time are a part of all
-    out = None
-    for k in range(PASSES):
-        part = pairs.select("a", "b").where(F.pmod(F.xxhash64("a", "b"), F.lit(PASSES)) == k)
-        rows = part.join(found.select(F.col("node").alias("b"), F.col("s").alias("_sb")), "b")
-        rows = rows.join(found.select(F.col("node").alias("a"), F.col("s").alias("_sa")), "a")
-        links = staged(rows.select("a", "b", "_sa", "_sb").mapInArrow(check, "a binary, b binary"), "jaccard-verified")
-        out = links if out is None else out.union(links)
+    rows = pairs.select("a", "b").join(found.select(F.col("node").alias("b"), F.col("s").alias("_sb")), "b")
+    rows = rows.join(found.select(F.col("node").alias("a"), F.col("s").alias("_sa")), "a")
+    out = staged(rows.select("a", "b", "_sa", "_sb").mapInArrow(check, "a binary, b binary"), "jaccard-verified")
     discard(found)
     return out
 
@@ -304,38 +301,43 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         groups.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
     sigs = staged(sigs.select("node", "n", *[F.col("_sig")[i].alias(c) for i, c in enumerate(_QUARTERS + _PARITIES)]),
                   "jaccard-signatures")
-    links, tried, named = None, None, groups.withColumn("root", F.col("node"))
-    for k in range(ROUNDS):
-        # the node that shares the most entries leads: an original more than its edited copies
-        weight = named.groupBy("h").agg(F.count(F.lit(1)).alias("many")).join(named, "h").groupBy("node").agg(
-            F.sum("many").alias("weight"))
-        heavy = staged(named.join(weight, "node"), f"jaccard-weights-{k}")
-        best = heavy.groupBy("h").agg(F.max(F.struct("weight", "node", "root", "n", "pos")).alias("b")).select("h", "b.*")
-        stars = heavy.alias("a").join(best.alias("b"), (F.col("a.h") == F.col("b.h")) & (F.col("a.root") != F.col("b.root"))
-                                      & _may_link("a", "b", percent))
-        stars = stars.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
-        if tried is not None:
-            stars = stars.join(tried, ["a", "b"], "left_anti")
-        stars = stars.alias("p").join(sigs.alias("x"), F.col("p.a") == F.col("x.node")).join(
-            sigs.alias("y"), F.col("p.b") == F.col("y.node")).where(_suffixes_allow("x", "y", percent)).select("p.a", "p.b")
-        stars = staged(stars, f"jaccard-stars-{k}")
-        discard(heavy)
-        tried = stars if tried is None else staged(tried.union(stars), f"jaccard-tried-{k}")
-        more = staged(verified(stars, base, nodes, text_col, n, percent), f"jaccard-links-{k}")
-        links = more if links is None else staged(links.union(more), f"jaccard-all-links-{k}")
-        roots = components(links, f"components-{k}")
-        named = named.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        open_groups = named.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
-        named = staged(named.join(open_groups, "h", "left_semi"), f"jaccard-open-{k}")
+    # the node that shares the most entries leads: an original more than its edited copies
+    weight = groups.groupBy("h").agg(F.count(F.lit(1)).alias("many")).join(groups, "h").groupBy("node").agg(
+        F.sum("many").alias("weight"))
+    heavy = staged(groups.join(weight, "node"), "jaccard-weights")
+    best = heavy.groupBy("h").agg(F.max(F.struct("weight", "node", "n", "pos")).alias("b")).select("h", "b.*")
+    stars = heavy.alias("a").join(best.alias("b"), (F.col("a.h") == F.col("b.h")) & (F.col("a.node") != F.col("b.node"))
+                                  & _may_link("a", "b", percent))
+    stars = stars.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+    stars = stars.alias("p").join(sigs.alias("x"), F.col("p.a") == F.col("x.node")).join(
+        sigs.alias("y"), F.col("p.b") == F.col("y.node")).where(_suffixes_allow("x", "y", percent)).select("p.a", "p.b")
+    stars = staged(stars, "jaccard-stars")
+    discard(heavy)
+    links = verified(stars, base, nodes, text_col, n, percent)
+    roots = components(links)
+
+    named = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_groups = named.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
+    named = named.join(open_groups, "h", "left_semi")
     signed = named.join(sigs.drop("n"), "node")
     a, b = signed.alias("a"), signed.alias("b")
     rest = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
                   & _may_link("a", "b", percent) & _suffixes_allow("a", "b", percent)).select(
-        F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    rest = staged(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
-    if rest.limit(1).count():
-        more = verified(rest, base, nodes, text_col, n, percent)
-        roots = components(links.union(more), "components-all")
+        F.col("a.node").alias("a"), F.col("b.node").alias("b"),
+        F.expr(f"1000000 * {_differ('a', 'b')} div (a.n + b.n)").alias("far")).distinct()
+    rest = staged(rest.join(stars, ["a", "b"], "left_anti"), "jaccard-rest")
+    ends = rest.select(F.col("a").alias("node"), "far", "a", "b").union(rest.select("b", "far", "a", "b"))
+    near = ends.groupBy("node").agg(F.min(F.struct("far", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
+    near = staged(near, "jaccard-near")
+    if near.limit(1).count():
+        links = links.union(verified(near, base, nodes, text_col, n, percent))
+        roots = components(links, "components-near")
+        left = rest.select("a", "b").join(near, ["a", "b"], "left_anti")
+        for end in ("a", "b"):
+            left = left.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"_{end}")), end, "left")
+        left = staged(left.where("coalesce(_a <> _b, true)").select("a", "b"), "jaccard-left")
+        if left.limit(1).count():
+            roots = components(links.union(verified(left, base, nodes, text_col, n, percent)), "components-all")
     return nodes, roots
 
 
