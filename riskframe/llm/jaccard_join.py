@@ -49,6 +49,8 @@ SKETCH_BITS = 20
 #: Text bytes whose prefix entries make up one bucket, about.
 BUCKET_BYTES = 8 << 20
 FLUSH_ENTRIES = 1 << 20
+#: Passes of a verification, so that the sets on their way at one time are a part of all.
+PASSES = 4
 #: Longs of a set's parities.
 SIG_LONGS = 16
 _QUARTERS = ("q0", "q1", "q2", "q3")
@@ -280,9 +282,14 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str,
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     found = staged(some.select("text").mapInArrow(sets, "node binary, s binary"), "jaccard-sets")
-    rows = pairs.select("a", "b").join(found.select(F.col("node").alias("b"), F.col("s").alias("_sb")), "b")
-    rows = rows.join(found.select(F.col("node").alias("a"), F.col("s").alias("_sa")), "a")
-    out = staged(rows.select("a", "b", "_sa", "_sb").mapInArrow(check, "a binary, b binary"), "jaccard-verified")
+    out = None
+    for k in range(PASSES):
+        mine = lambda c: F.pmod(F.xxhash64(c), F.lit(PASSES)) == k
+        rows = pairs.select("a", "b").where(mine("b")).join(
+            found.where(mine("node")).select(F.col("node").alias("b"), F.col("s").alias("_sb")), "b")
+        rows = rows.join(found.select(F.col("node").alias("a"), F.col("s").alias("_sa")), "a")
+        links = staged(rows.select("a", "b", "_sa", "_sb").mapInArrow(check, "a binary, b binary"), "jaccard-verified")
+        out = links if out is None else out.union(links)
     discard(found)
     return out
 
