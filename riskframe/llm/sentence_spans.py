@@ -2,21 +2,26 @@
 
 A sentence ends at a line feed, or after ``. ! ?`` before white space or the text's end; of
 its words (runs of ASCII letters and digits, A-Z lowered, and non-ASCII characters) those
-in order count, so case, spaces and punctuation do not.  A run of ``PIECE_WORDS`` words
-without an end is cut after a word whose hash says so (or, in repeats without such a word,
-not at all), so that long passages without full stops are covered too.  Every run of
-``span`` consecutive sentences (a text of fewer is one run) with ``min_words`` words or more is hashed (128 bits); one
-grouped count finds the spans that occur twice or more and the first place of each (least
-id, then position), and the sentences of every other occurrence are removed.
+in order count, so case, spaces and punctuation do not.  A sentence of ``CUT_WINDOW +
+CUT_WORDS - 1`` words or more is also cut before the word run of least hash in every
+``CUT_WINDOW`` (the last of equal ones): what is cut depends on the words beside it only, so
+a passage is cut alike wherever it stands, but for its first 11 and last 12 words, and a
+piece has 12 words at most.  A span is a run of pieces that just reaches ``min_words`` words,
+counted on from the start of a piece or back from the end of one.  So a repeat of 46 words
+holds a whole span, and a repeat of whole sentences that has ``min_words`` is covered whole.
+Every span is hashed by its words (128 bits); one grouped count finds those that occur
+twice or more and the first place of each (least id, then position), and the pieces of every
+other occurrence are removed.
 
 Counts are combined before the shuffle, so a span that a third of all documents share is one
 row per task; the join back to the occurrences is by hash and may be split by Spark.
 
-Cases: null or wordless text has no sentences and stays as it is; an overlap with a first
-occurrence in the same text is still removed; equal rows: the first occurrence is in the
-least (id, hash of the text), and further equal rows lose their spans as copies only if
-their ids differ; an empty table gives an empty result; input columns named like a result
-column are replaced by it; other columns pass through.
+Cases: null or wordless text has no sentences and stays as it is, as do texts of fewer than
+``min_words``; of an overlap with a first occurrence in the same text only what lies behind
+it is removed; equal rows: the first occurrence is in the least (id, hash of the text), and
+further equal rows lose their spans as copies only if their ids differ; an empty table gives
+an empty result; input columns named like a result column are replaced by it; other columns
+pass through.
 """
 from __future__ import annotations
 
@@ -29,10 +34,10 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, mix, slices, span_hashes, staged, utf8_column, window_hashes, without, word_bounds
 
-SPAN = 3
 MIN_WORDS = 12
-#: A word ends a sentence if its hash is 0 modulo this: for text without full stops.
-PIECE_WORDS = 24
+#: Word runs of so many words are compared, so many beside each other, for cuts in long sentences.
+CUT_WORDS = 3
+CUT_WINDOW = 10
 RESULTS = ("n_sentences", "n_removed", "clean_text")
 
 
@@ -48,49 +53,56 @@ _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _STOP = np.isin(np.arange(256), [33, 46, 63])
 
 
+def _cuts(words: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Words that a long sentence is cut before, after the end of the one before; ``part`` is the sentence of each word."""
+    run = window_hashes(words, CUT_WORDS)
+    if len(run) < CUT_WINDOW:
+        return np.zeros(0, np.int64)
+    near = np.lib.stride_tricks.sliding_window_view(run, CUT_WINDOW)[:, ::-1]
+    inside = np.flatnonzero(part[:len(near)] == part[CUT_WINDOW + CUT_WORDS - 2:])
+    at = np.unique(inside + CUT_WINDOW - 1 - np.argmin(near[inside], axis=1))
+    return at[np.append(-1, part)[at] == part[at]]            # a sentence's first word is cut before as it is
+
+
 def sentences(raw: np.ndarray, off: np.ndarray):
-    """Of texts side by side: row, start and end byte, word count and hash of each sentence
-    with words.  A sentence reaches from its first byte after the one before to its end."""
+    """Of texts side by side: row, start and end byte and word count of each piece (sentence
+    or part of a long one), and the hash of each word.  A piece reaches from its first byte
+    after the one before to its end."""
     low = LOWER[raw]
     n = len(low)
     ws, we, wrow = word_bounds(_WORD[low], off)
     words = span_hashes(low, ws, we)
-    last = np.zeros(n + 1, bool)                              # a sentence ends before this byte
+    last = np.zeros(n + 1, bool)                              # a piece ends before this byte
     blank = np.append(_BLANK[low], True)
     stop = np.flatnonzero(_STOP[low])
     last[stop[blank[stop + 1]] + 1] = True
     last[np.flatnonzero(low == 10) + 1] = True
-    last[we[words % np.uint64(PIECE_WORDS) == 0]] = True
     last[off] = True
     cut = np.flatnonzero(last)
+    last[we[_cuts(words, np.searchsorted(cut, ws, "right")) - 1]] = True
+    cut = np.flatnonzero(last)
     part = np.searchsorted(cut, ws, "right") - 1              # of each word
     used, first, size = np.unique(part, return_index=True, return_counts=True)
-    total = np.zeros(len(words) + 1, np.uint64)
-    place = np.arange(len(words)) - np.repeat(first, size)
-    # a word's weight depends on its place in the sentence
-    np.cumsum(mix(words + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), out=total[1:])
-    h = mix(total[first + size] - total[first] + size.astype(np.uint64))
-    return wrow[first], cut[used], np.append(cut[1:], n)[used], size, h
-
-
-def _spans(row: np.ndarray, size: np.ndarray, h: np.ndarray, span: int, min_words: int):
-    """First sentence and two hashes of each span that stays in its row."""
-    words = np.append(0, np.cumsum(size))
-    other = mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-    found = []
-    for k in range(1, span + 1):
-        m = len(h) - k + 1
-        if m <= 0:
-            continue
-        use = (row[:m] == row[k - 1:]) & (words[k:] - words[:m] >= min_words)
-        if k < span:                                          # a text of fewer sentences is one span
-            use &= (np.append(-1, row)[:m] != row[:m]) & (np.append(row, -1)[k:] != row[k - 1:])
-        at = np.flatnonzero(use)
-        found.append((at, *[window_hashes(x, k)[at].view(np.int64) for x in (h, other)]))
-    return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
-
-
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN,
+    return wrow[first], cut[used], np.append(cut[1:], n)[used], size, words
+
+
+def _spans(row: np.ndarray, size: np.ndarray, words: np.ndarray, min_words: int):
+    """First piece, piece after the last, and two hashes of each span."""
+    m = len(row)
+    at = np.append(0, np.cumsum(size))                        # first word of each piece
+    i = np.arange(m)
+    on = np.searchsorted(at, at[:-1] + min_words)             # from each start, the piece after the last
+    back = np.searchsorted(at, at[1:] - min_words, "right") - 1   # to each end, the first piece
+    a, b = np.append(i, back), np.append(on, i + 1)
+    ok = (a >= 0) & (b <= m)
+    a, b = a[ok], b[ok]
+    ok = row[a] == row[b - 1]
+    a, b = np.divmod(np.unique(a[ok] * (m + 1) + b[ok]), m + 1)
+    other = mix(words ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+    return a, b, *[span_hashes(x, at[a], at[b]).view(np.int64) for x in (words, other)]
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with n_sentences, n_removed and clean_text (the text without removed sentences)."""
     base = without(docs, *RESULTS, "_hash", "_gone")
@@ -101,21 +113,22 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span:
             raw, off = utf8_column(b, "t")
             for lo, hi in slices(off):
                 o = off[lo:hi + 1] - off[lo]
-                row, _, _, size, h = sentences(raw[off[lo]:off[hi]], o)
-                at, one, two = _spans(row, size, h, span, min_words)
+                row, _, _, size, words = sentences(raw[off[lo]:off[hi]], o)
+                at, to, one, two = _spans(row, size, words, min_words)
                 first = np.searchsorted(row, np.arange(hi - lo))
                 k = pa.array(row[at] + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(k), b.column(1).take(k), pa.array(at - first[row[at]], pa.int64()), pa.array(one), pa.array(two)],
-                    names=["id", "hash", "at", "h1", "h2"])
+                    [b.column(0).take(k), b.column(1).take(k), *[pa.array(x - first[row[at]], pa.int32()) for x in (at, to)], pa.array(one), pa.array(two)],
+                    names=["id", "hash", "at", "to", "h1", "h2"])
 
     narrow = base.select(F.col(id_col).alias("id"), F.col("_hash").alias("hash"), F.col(text_col).alias("t"))
     kind = narrow.schema["id"].dataType.simpleString()
-    rows = narrow.mapInArrow(emit, f"id {kind}, hash long, at long, h1 long, h2 long")
-    seen = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "hash", "at")).alias("first"))
+    rows = narrow.mapInArrow(emit, f"id {kind}, hash long, at int, to int, h1 long, h2 long")
+    seen = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "hash", "at", "to")).alias("first"))
     again = staged(seen.where("n > 1").drop("n"), "span-again")
-    gone = rows.join(again, ["h1", "h2"]).where(~F.struct("id", "hash", "at").eqNullSafe(F.col("first")))
-    gone = gone.groupBy("id", "hash").agg(F.collect_set("at").alias("_gone")).withColumnsRenamed({"id": "_id", "hash": "_h"})
+    here = F.struct("id", "hash").eqNullSafe(F.struct("first.id", "first.hash"))
+    gone = rows.join(again, ["h1", "h2"]).withColumn("at", F.when(here, F.greatest("at", "first.to")).otherwise(F.col("at")))
+    gone = gone.where("at < to").groupBy("id", "hash").agg(F.collect_set(F.struct("at", "to")).alias("_gone")).withColumnsRenamed({"id": "_id", "hash": "_h"})
     out = base.join(gone, F.col(id_col).eqNullSafe(F.col("_id")) & F.col("_hash").eqNullSafe(F.col("_h")), "left").drop("_id", "_h", "_hash")
     keep = [c for c in out.columns if c != "_gone"]
     schema = out.select(*keep, F.lit(0).cast("long").alias("n_sentences"), F.lit(0).cast("long").alias("n_removed"),
@@ -138,7 +151,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span:
                         n_gone.append(0)
                         clean.append(text[lo + r].as_py())
                         continue
-                    drop = np.unique(np.add.outer(np.array(hits[lo + r]), np.arange(min(span, n_all[-1]))).ravel())
+                    drop = np.zeros(n_all[-1] + 1, np.int64)
+                    np.add.at(drop, [x["at"] for x in hits[lo + r]], 1)
+                    np.add.at(drop, [x["to"] for x in hits[lo + r]], -1)
+                    drop = np.flatnonzero(np.cumsum(drop))
                     n_gone.append(len(drop))
                     at, kept = int(off[lo + r] - off[lo]), []
                     for i in (drop + first[r]).tolist():

@@ -152,6 +152,34 @@ def test_sentence_spans(spark):
     assert got[3].n_removed == 0 and got[4].clean_text is None and got[5].clean_text == ""
 
 
+@pytest.mark.parametrize("kind", ["one-word sentences", "no stops", "low vocabulary", "long sentences", "odd sentences"])
+def test_sentence_spans_in_any_text(spark, kind):
+    """A repeat of 51 words at any offset holds a span, a whole repeat goes, and what goes stands elsewhere."""
+    r = random.Random(11)
+    vocab = [f"w{i}" for i in range(3 if kind == "low vocabulary" else 5000)]
+
+    def text(n):
+        w = [r.choice(vocab) for _ in range(n)]
+        stop = {"one-word sentences": 1.0, "long sentences": 0.03, "odd sentences": 0.2}.get(kind, 0.0)
+        return [x + "!!" if r.random() < stop else x for x in w]
+    rows, shared = [], [text(51) for _ in range(40)]
+    for i, p in enumerate(shared):
+        rows += [(2 * i, " ".join(text(r.randrange(40)) + p + text(r.randrange(40)))),
+                 (2 * i + 1, " ".join(text(r.randrange(40)) + p + text(r.randrange(40))))]
+    short = " ".join(text(14)) + "."
+    rows += [(500, " ".join(text(30)) + ". " + short + " " + " ".join(text(30))), (501, short), (502, short + " \n")]
+    rows += [(600 + k, " ".join(text(20) + ["Word!!"] * 60)) for k in range(2)] + [(700, rows[0][1])]
+    got = {x.doc_id: x for x in sentence_spans.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(40):
+        assert got[2 * i + 1].n_removed > 0
+        assert len(words(rows[2 * i + 1][1])) - len(words(got[2 * i + 1].clean_text)) >= 26
+    assert not words(got[501].clean_text) and not words(got[502].clean_text) and not words(got[700].clean_text)
+    assert got[600].clean_text.count("Word!!") >= 12 > got[601].clean_text.count("Word!!")
+    if kind != "low vocabulary":
+        assert all(got[2 * i].n_removed == 0 for i in range(40)) and got[500].clean_text == dict(rows)[500]
+        assert all(set(words(" ".join(shared[i]))) >= set(words(rows[2 * i + 1][1])) - set(words(got[2 * i + 1].clean_text)) for i in range(40))
+
+
 def test_mixing(spark):
     docs = sample(spark, 60)
     a, b = (mixing.allocate(docs, bucket_rows=k) for k in (5, 1000))
