@@ -348,13 +348,19 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return nodes, roots
 
 
+def _rooted(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
+    """The rows of ``docs`` (without its text) with _text, n_shingles and root, the node that
+    names the component (null: an empty set)."""
+    nodes, roots = link_components(docs, id_col, text_col, n, percent)
+    return nodes.join(roots.select(F.col("node").alias("_node"), "root"), "_node", "left") \
+        .withColumn("root", F.coalesce("root", "_node")).drop("_node", "_sig")
+
+
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N_WORDS,
                    percent: int = PERCENT) -> DataFrame:
     """``docs`` (without its text) with n_shingles and component_id, the least id reachable by links."""
-    nodes, roots = link_components(docs, id_col, text_col, n, percent)
-    keep = [c for c in nodes.columns if c not in ("_node", "_text", "_sig", "n_shingles")]
-    rows = nodes.join(roots.select(F.col("node").alias("_node"), "root"), "_node", "left") \
-        .withColumn("root", F.coalesce("root", "_node"))
+    rows = _rooted(docs, id_col, text_col, n, percent)
+    keep = [c for c in rows.columns if c not in ("_text", "n_shingles", "root")]
     least = rows.where("root is not null").groupBy("root").agg(F.min(id_col).alias("component_id"))
     rows = rows.join(least, "root", "left")
     return rows.select(*keep, "n_shingles", F.when(F.col("root").isNull(), F.col(id_col)).otherwise(
@@ -363,7 +369,15 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N_WORDS,
              percent: int = PERCENT) -> DataFrame:
-    """One document of each component, the one of least id (of equal rows, one)."""
-    told = join_documents(docs.select(id_col, text_col), id_col, text_col, n, percent)
-    first = told.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_keep")).distinct()
-    return docs.join(first, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates([id_col])
+    """One document of each component: of the rows with an id, if there are any, that of least
+    id, then of least hash of the text.  Rows without words are components of their own: all
+    without an id stay, and one of each id and text."""
+    words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    full, empty = docs.where(words).withColumn("_hash", F.xxhash64(text_col)), docs.where(~words)
+    told = _rooted(full.select(id_col, text_col), id_col, text_col, n, percent)
+    place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("_id"), F.col("_text"))
+    first = told.groupBy("root").agg(F.min(place).alias("k")).select("k._id", "k._text").distinct()
+    out = full.join(first, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left_semi")
+    out = out.dropDuplicates([id_col, "_hash"]).drop("_hash")
+    return out.union(empty.where(F.col(id_col).isNull())).union(
+        empty.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col]))

@@ -126,6 +126,21 @@ def test_jaccard_components(spark):
     assert kept.columns == docs.columns and kept.count() == len({(x[2]) for x in want})
 
 
+def test_keep_one_of_each_component(spark):
+    """Different texts without an id or under one id all stay, near copies of them go."""
+    r = random.Random(7)
+    a, b, c, d, e = ([f"w{r.randrange(10 ** 6)}" for _ in range(60)] for _ in range(5))
+    rows = [(None, a), (None, b), (None, b[1:]), (None, b), (5, c), (5, d), (5, d), (None, d), (6, d[1:]), (7, d), (8, e), (8, e[1:]),
+            (None, []), (None, []), (9, []), (9, []), (10, [])]
+    docs = spark.createDataFrame([(i, " ".join(t), "s", None) for i, t in rows], SCHEMA)
+    kept = [(x.doc_id, x.text.split()) for x in jaccard_join.keep_one(docs).collect()]
+    assert len(kept) == 9 and all(k in rows for k in kept)
+    for want in ((None, a), (5, c), (5, d), (9, []), (10, [])):
+        assert kept.count(want) == 1
+    assert kept.count((None, [])) == 2 and sum(k in ((None, b), (None, b[1:])) for k in kept) == 1
+    assert sum(k in ((8, e), (8, e[1:])) for k in kept) == 1
+
+
 def test_suffix_dedup(spark, monkeypatch):
     docs = sample(spark)
     rows, size = docs.collect(), 70
