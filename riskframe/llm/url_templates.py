@@ -5,7 +5,7 @@ hexadecimal, dates, long mixed words) become wildcards, each of its kind.  What
 counted once into (host, template) groups, so a host with a third of all rows is a few
 groups.  Level by level, the children of each branch are then compared with the pooled
 share of good labels of their siblings (a two-sided z test); children that do not differ,
-or are too rare to tell, are merged into one wildcard if the branch has many children.
+or are too rare to tell, are merged into one wildcard; an only child keeps its name.
 A template is rejected if its purity ``(good + prior * weight) / (labelled + weight)``,
 smoothed towards the share of good labels of all pages, is below ``min_purity``.
 
@@ -30,7 +30,6 @@ from .common import staged, without
 MIN_PURITY = 0.5
 WEIGHT = 10.0
 MAX_Z = 1.96
-MANY_CHILDREN = 20
 #: Levels of the tree; deeper segments belong to the last level's wildcard.
 DEPTH = 6
 SALTS = 16
@@ -76,8 +75,7 @@ def segments(path: Column, depth: int = DEPTH) -> Column:
     return F.when(F.size(parts) > depth, F.concat(F.slice(cut, 1, depth - 1), F.array(F.lit("{more}")))).otherwise(cut)
 
 
-def template_table(pages: DataFrame, depth: int = DEPTH, min_purity: float = MIN_PURITY, weight: float = WEIGHT,
-                   many: int = MANY_CHILDREN) -> DataFrame:
+def template_table(pages: DataFrame, depth: int = DEPTH, min_purity: float = MIN_PURITY, weight: float = WEIGHT) -> DataFrame:
     """(host, shape, template, purity) from pages of (host, shape, good); ``good`` may be null."""
     groups = staged(pages.groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("n"), F.count("good").alias("labelled"),
@@ -94,7 +92,7 @@ def template_table(pages: DataFrame, depth: int = DEPTH, min_purity: float = MIN
             F.sum("l").alias("all_l"), F.sum("g").alias("all_g"), F.count(F.lit(1)).alias("children"))
         rate = (F.col("all_g") + prior * weight) / (F.col("all_l") + weight)
         z = F.abs(F.col("g") - F.col("l") * rate) / F.sqrt(F.col("l") * rate * (1 - rate) + 1e-9)
-        own = (F.col("children") < many) | ((F.col("l") >= weight) & (z > MAX_Z))
+        own = (F.col("children") == 1) | ((F.col("l") >= weight) & (z > MAX_Z))
         # only branches that become a wildcard are listed; the others keep their name
         merged = child.join(pooled, ["host", "template"]).where(~own).select("host", "template", "_seg", F.lit("*").alias("_as"))
         tree = rows.join(merged, ["host", "template", "_seg"], "left").withColumn(

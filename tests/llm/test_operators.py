@@ -284,6 +284,17 @@ def test_url_templates(spark):
     assert got[100].verdict == "block" and got[200].verdict == "allow" and got[100].template == "/bad/{n}"
 
 
+def test_url_similar_branches(spark):
+    """Some similar branches without a good page are judged together, one that differs by itself."""
+    rows = [(i, f"http://ok.org/a/{i}", 1) for i in range(300)]
+    rows += [(1000 + i, f"http://few.org/{'abcdefghijklmno'[i % 15]}/{i}", 0) for i in range(60)]
+    rows += [(2000 + i, f"http://two.org/{'xy'[i % 2]}/{i}", 0) for i in range(18)] + [(3000 + i, f"http://few.org/good/{i}", 1) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, good int")
+    got = {r.page_id: (r.template, r.verdict) for r in url_templates.judge(pages, good=F.col("good") == 1).collect()}
+    assert {got[i] for i in range(1000, 1060)} == {("/*/{n}", "block")}
+    assert {got[i] for i in range(2000, 2018)} == {("/*/{n}", "block")} and {got[i] for i in range(3000, 3040)} == {("/good/{n}", "allow")}
+
+
 def test_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", language.held_out(F.col("doc_id")))
