@@ -30,8 +30,6 @@ from .common import staged, without
 MIN_PURITY = 0.5
 WEIGHT = 10.0
 MAX_Z = 1.96
-#: Levels of the tree; deeper segments belong to the last level's wildcard.
-DEPTH = 6
 SALTS = 16
 RESULTS = ("host", "path", "rule", "template", "purity", "verdict")
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -68,37 +66,43 @@ def shape(segment: Column) -> Column:
             .when((F.length(stem) > 24) | (stem.rlike(r"\d") & (F.length(stem) > 8)), "{word}").otherwise(segment))
 
 
-def segments(path: Column, depth: int = DEPTH) -> Column:
-    """Up to ``depth`` shapes; what is deeper joins the last as ``{more}``."""
-    parts = F.filter(F.split(path, "/"), lambda x: x != "")
-    cut = F.transform(F.slice(parts, 1, depth), shape)
-    return F.when(F.size(parts) > depth, F.concat(F.slice(cut, 1, depth - 1), F.array(F.lit("{more}")))).otherwise(cut)
+def segments(path: Column) -> Column:
+    """The shapes of all segments."""
+    return F.transform(F.filter(F.split(path, "/"), lambda x: x != ""), shape)
 
 
-def template_table(pages: DataFrame, depth: int = DEPTH, min_purity: float = MIN_PURITY, weight: float = WEIGHT) -> DataFrame:
+def template_table(pages: DataFrame, min_purity: float = MIN_PURITY, weight: float = WEIGHT) -> DataFrame:
     """(host, shape, template, purity) from pages of (host, shape, good); ``good`` may be null."""
     groups = staged(pages.groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("n"), F.count("good").alias("labelled"),
         F.coalesce(F.sum(F.col("good").cast("long")), F.lit(0)).alias("good")), "url-groups")
     total = groups.agg(F.sum("good").alias("g"), F.sum("labelled").alias("l"), F.max(F.size("shape")).alias("deep")).first()
     prior = float(total["g"]) / total["l"] if total["l"] else 1.0
-    tree = groups.withColumn("template", F.array().cast("array<string>"))
-    for level in range(1, min(depth, total["deep"] or 0) + 1):
-        seg = F.get(F.col("shape"), F.lit(level - 1))
-        rows = tree.withColumn("_seg", seg)
-        child = rows.where("_seg is not null").groupBy("host", "template", "_seg").agg(
-            F.sum("labelled").alias("l"), F.sum("good").alias("g"))
+    groups = groups.withColumn("template", F.array().cast("array<string>"))
+    tree, rows, level, deep = groups.where(F.size("shape") == 0), groups.where(F.size("shape") > 0), 0, total["deep"] or 0
+    while level < deep:
+        level += 1
+        rows = rows.withColumn("_seg", F.get(F.col("shape"), F.lit(level - 1)))
+        child = rows.groupBy("host", "template", "_seg").agg(
+            F.sum("labelled").alias("l"), F.sum("good").alias("g"), F.count(F.lit(1)).alias("shapes"))
         pooled = child.groupBy("host", "template").agg(
-            F.sum("l").alias("all_l"), F.sum("g").alias("all_g"), F.count(F.lit(1)).alias("children"))
+            F.sum("l").alias("all_l"), F.sum("g").alias("all_g"), F.count(F.lit(1)).alias("children"),
+            (F.sum("shapes") == 1).alias("_alone"))
         rate = (F.col("all_g") + prior * weight) / (F.col("all_l") + weight)
         z = F.abs(F.col("g") - F.col("l") * rate) / F.sqrt(F.col("l") * rate * (1 - rate) + 1e-9)
         own = (F.col("children") == 1) | ((F.col("l") >= weight) & (z > MAX_Z))
-        # only branches that become a wildcard are listed; the others keep their name
-        merged = child.join(pooled, ["host", "template"]).where(~own).select("host", "template", "_seg", F.lit("*").alias("_as"))
-        tree = rows.join(merged, ["host", "template", "_seg"], "left").withColumn(
-            "template", F.when(F.col("_seg").isNull(), F.col("template")).otherwise(
-                F.concat("template", F.array(F.coalesce("_as", "_seg"))))).drop("_seg", "_as")
-    tree = staged(tree, "url-tree")
+        # only branches that become a wildcard or end in one shape are listed; the others keep their name
+        listed = child.join(pooled, ["host", "template"]).where(~own | F.col("_alone")).select(
+            "host", "template", "_seg", F.when(~own, "*").alias("_as"), "_alone")
+        alone = F.coalesce("_alone", F.lit(False))            # nothing beside it from here on: it keeps its names
+        rows = rows.join(listed, ["host", "template", "_seg"], "left").withColumns({
+            "template": F.when(alone, F.concat("template", F.expr(f"slice(shape, {level}, size(shape))"))).otherwise(
+                F.concat("template", F.array(F.coalesce("_as", "_seg")))),
+            "_done": alone | (F.size("shape") == level)}).drop("_seg", "_as", "_alone")
+        rows = staged(rows, "url-level")                      # the next level's plan begins here
+        tree = tree.unionByName(rows.where("_done").drop("_done"))
+        rows = rows.where("not _done").drop("_done")
+        deep = rows.agg(F.max(F.size("shape"))).first()[0] or 0
     sums = tree.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("good").alias("g"))
     sums = sums.withColumn("purity", (F.col("g") + prior * weight) / (F.col("l") + weight)).drop("l", "g")
     return tree.select("host", "shape", "template").join(sums, ["host", "template"]).select(
@@ -106,15 +110,15 @@ def template_table(pages: DataFrame, depth: int = DEPTH, min_purity: float = MIN
         (F.col("purity") >= min_purity).alias("_pure"))
 
 
-def judge(pages: DataFrame, good: Column | None = None, url_col: str = "url", rules=RULES, depth: int = DEPTH,
+def judge(pages: DataFrame, good: Column | None = None, url_col: str = "url", rules=RULES,
           min_purity: float = MIN_PURITY, salts: int = SALTS) -> DataFrame:
     """``pages`` with host, path, rule, template, purity and verdict.  ``good`` is a
     boolean column of ``pages`` (null: no label)."""
     base = without(pages, *RESULTS)
     label = good if good is not None else F.lit(None)
     rows = base.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col)), "_good": label.cast("boolean")})
-    rows = rows.withColumn("shape", segments(F.col("path"), depth))
-    table = template_table(rows.select("host", "shape", F.col("_good").alias("good")), depth, min_purity)
+    rows = rows.withColumn("shape", segments(F.col("path")))
+    table = template_table(rows.select("host", "shape", F.col("_good").alias("good")), min_purity)
     # a (host, template) group may hold a third of the pages: its one row of the table is dealt to every salt
     table = table.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64(url_col), F.lit(salts)).cast("int"))

@@ -295,6 +295,16 @@ def test_url_similar_branches(spark):
     assert {got[i] for i in range(2000, 2018)} == {("/*/{n}", "block")} and {got[i] for i in range(3000, 3040)} == {("/good/{n}", "allow")}
 
 
+def test_url_deep_paths(spark):
+    deep = "http://h.org/a/b/c/d/e/f/g/"
+    rows = [(i, f"{deep}good/x/{i}", 1) for i in range(60)] + [(100 + i, f"{deep}spam/x/{i}", 0) for i in range(60)]
+    rows += [(200, "http://h.org/" + "z/" * 300 + "1", None), (201, "http://one.org/" + "z/" * 300 + "1", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, good int")
+    got = {r.page_id: (r.template, r.verdict) for r in url_templates.judge(pages, good=F.col("good") == 1).collect()}
+    assert len(got) == len(rows) and got[201][0].count("/z") == 300
+    assert got[5] == (got[5][0], "allow") and got[105][1] == "block" and got[5][0].endswith("/good/x/{n}") and got[105][0].endswith("/spam/x/{n}")
+
+
 def test_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", language.held_out(F.col("doc_id")))
