@@ -6,9 +6,9 @@ blank), hashed into ``DIM`` cells, square roots, unit length.  Families are foun
 mean features of each language by joining the most alike until about the square root of
 the number of languages are left; families are told apart one against one, too.
 
-Learning takes at most about ``per_language`` labelled documents of each language, chosen
-by a hash of the text (the bound is a parameter; counts that set the share are over all
-rows).  The machines are Spark ML's ``LinearSVC``.  Prediction is one map over all rows with
+Learning takes at most ``per_language`` different labelled texts of each language, those of
+least hash (the bound is a parameter), so a language with labelled rows is always learned,
+and copies of a text count once.  The machines are Spark ML's ``LinearSVC``.  Prediction is one map over all rows with
 the weights broadcast (DIM x machines numbers).
 
 Cases: null text or text without a letter is ``und`` with score 0; without any labelled
@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, staged, utf8_column, without
@@ -35,6 +35,8 @@ from .common import slices, staged, utf8_column, without
 DIM = 2048
 PER_LANGUAGE = 600
 MAX_ITER = 25
+#: Parts of a language's hashes that are ranked apart before they meet.
+PARTS = 64
 RESULTS = ("lang_pred", "score")
 
 
@@ -86,15 +88,21 @@ def families(means: dict[str, np.ndarray]) -> list[list[str]]:
     return groups
 
 
+def drawn(known: DataFrame, per_language: int) -> DataFrame:
+    """Of rows (t, lang), the ``per_language`` different texts of least hash of each language."""
+    hashed = known.withColumn("_h", F.xxhash64("t"))
+    keys = hashed.select("lang", "_h").distinct().withColumn("_part", F.pmod("_h", F.lit(PARTS)))
+    for by in (["lang", "_part"], ["lang"]):                  # the last sees PARTS * per_language rows of a language
+        keys = keys.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy("_h"))).where(F.col("_rank") <= per_language)
+    # per_language rows for each language at most
+    return hashed.join(F.broadcast(keys.select("lang", "_h")), ["lang", "_h"], "left_semi").dropDuplicates(["lang", "_h"]).select("t", "lang")
+
+
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> dict:
     """Families and machines from labelled rows (null lang: not used)."""
     spark = docs.sparkSession
     known = docs.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and t is not null")
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}    # a row per language
-    share = F.lit(0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, int(min(1.0, per_language / n) * (1 << 20))).otherwise(share)
-    sample = known.where(F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < share)
+    sample = drawn(known, per_language)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -103,14 +111,14 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_l
                 x = features(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
                 yield pa.RecordBatch.from_arrays([b.column(1).slice(lo, hi - lo), pa.array(list(x), pa.list_(pa.float64()))],
                                                  names=["lang", "x"])
-    rows = staged(sample.mapInArrow(run, "lang string, x array<double>"), "language-sample") if counts else None
+    rows = staged(sample.mapInArrow(run, "lang string, x array<double>"), "language-sample")
     model = {"families": [], "machines": []}
-    if not counts:
-        return model
     # at most per_language rows of DIM numbers for each language
     sums: dict[str, np.ndarray] = {}
     for r in rows.select("lang", F.posexplode("x").alias("i", "v")).groupBy("lang", "i").agg(F.avg("v").alias("v")).toLocalIterator():
         sums.setdefault(r["lang"], np.zeros(DIM))[r["i"]] = r["v"]
+    if not sums:
+        return model
     model["families"] = families({k: v / max(np.linalg.norm(v), 1e-12) for k, v in sums.items()})
     sets = [(a, b) for a, b in combinations(model["families"], 2)]
     sets += [([a], [b]) for f in model["families"] for a, b in combinations(f, 2)]

@@ -316,6 +316,17 @@ def test_language(spark):
     assert language.predict(odd, language.learn(docs.limit(0))).count() == 3
 
 
+def test_language_of_copies(spark):
+    """A language whose rows are copies is learned; copies do not go beyond the bound."""
+    rows = [(i, "uno due tre", "aa") for i in range(200)] + [(1000 + i, f"one two {'xyz'[i % 3] * (i + 1)}", "bb") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = language.drawn(docs.select(F.col("text").alias("t"), "lang"), 20).groupBy("lang").count().collect()
+    assert {(r["lang"], r["count"]) for r in got} == {("aa", 1), ("bb", 20)}
+    model = language.learn(docs, per_language=1)
+    assert sorted(x for f in model["families"] for x in f) == ["aa", "bb"]
+    assert {r.lang_pred for r in language.predict(docs.where("lang = 'aa'"), model).collect()} == {"aa"}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     docs = queries.table(spark, SF, "documents")
