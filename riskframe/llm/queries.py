@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, jaccard_join, language, line_quality, mixing, reply_trees, sentence_spans,
-               suffix_dedup, token_records, url_templates)
+from . import (centroids, conversation_repair, decontamination, jaccard_join, language, line_quality,
+               mixing, reply_trees, sentence_spans, suffix_dedup, token_records, url_templates)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -139,3 +139,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near copies."""
     got = jaccard_join.join_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return got.select("doc_id", "n_shingles", "component_id")
+
+
+def _centroid_sql(rounds: int = centroids.ROUNDS, k: int = centroids.CENTROIDS) -> str:
+    """The rounds of op11, one after the other."""
+    kept = f"""kept AS MATERIALIZED (SELECT vec_id, [CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v,
+           sha256('{centroids.SEED}:' || CAST(vec_id AS VARCHAR)) AS h FROM embeddings
+      WHERE len(embedding) = {centroids.DIMS} AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = {centroids.DIMS})"""
+    parts = [kept, f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS c, v FROM kept
+      ORDER BY h NULLS LAST, v LIMIT {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (SELECT vec_id, v, c, d FROM (
+        SELECT vec_id, v, c, d, row_number() OVER (PARTITION BY r ORDER BY d, c) AS nth FROM (
+          SELECT k.r, k.vec_id, k.v, c.c, list_sum([CAST((k.v[i] - c.v[i]) * (k.v[i] - c.v[i]) AS BIGINT) FOR i IN range(1, {centroids.DIMS + 1})]) AS d
+          FROM (SELECT *, row_number() OVER () AS r FROM kept) AS k, c{i} AS c)) WHERE nth = 1)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.v, c.v) AS v FROM c{i} AS c LEFT JOIN (
+        SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+          SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+            SELECT c, unnest(v) AS x, unnest(range(1, {centroids.DIMS + 1})) AS i FROM a{i}) GROUP BY c, i) GROUP BY c) AS m USING (c))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN c{rounds} AS c USING (c)"""
+
+
+@register("op11_threshold_centroids", _centroid_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole vector's cluster."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@register("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired."""
+    rows = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows).withColumnRenamed("conv", "conv_id")
