@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (centroids, conversation_repair, decontamination, jaccard_join, language, line_quality,
+from . import (centroids, conversation_repair, decontamination, hyperminhash, jaccard_join, language, line_quality,
                mixing, reply_trees, sentence_spans, suffix_dedup, token_records, url_templates)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,6 +171,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+@register("op12_hyperminhash")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near copies, and whether it stays."""
+    return hyperminhash.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op13_conversation_repair")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, damaged and repaired."""

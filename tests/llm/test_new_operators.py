@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.llm import centroids, queries
+from riskframe.llm import centroids, hyperminhash, queries
 from riskframe.llm import conversation_repair as cr
 
 SF = "/root/testdata/sf0.001"
@@ -218,3 +218,85 @@ def test_repair_query_equals_the_contract(spark):
     rows = [tuple(r) for r in queries.table(spark, SF, "conversations").select("conv_id", "turn", "role", "text").collect()]
     got = {r.conv_id: tuple(r)[1:] for r in queries.op13(spark, SF).collect()}
     assert got == plain_repair(damaged(rows), {x[0] for x in rows})
+
+
+# ------------------------------------------------------------------------------ op12
+def shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def brute_components(rows, percent):
+    sets = [shingles(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+            up[top(i)] = top(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[top(i)] = min(least.get(top(i), d), d)
+    return sorted(((d, len(s), least.get(top(i)), d == least.get(top(i))) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str)
+
+
+def copies(seed):
+    """Families of edited copies around the threshold, small sets, one family beyond a block, odd rows."""
+    r = random.Random(seed)
+    word = lambda: f"w{r.randrange(5000)}"
+    texts = []
+    for size, many, edits in [(6, 4, 1), (7, 5, 1), (11, 6, 1), (30, 8, 1), (60, 8, 2), (120, 40, 3), (120, 30, 2), (400, 8, 8), (400, 8, 12)]:
+        origin = [word() for _ in range(size)]
+        texts.append(origin)
+        for _ in range(many):
+            copy = list(origin)
+            for _ in range(r.randrange(edits + 1)):
+                copy[r.randrange(size)] = word()
+            texts.append(copy if r.random() < 0.7 else copy[r.randrange(2):])
+    texts += [[word() for _ in range(r.randrange(1, 80))] for _ in range(40)]
+    common = [word() for _ in range(20)]
+    texts += [common + [word() for _ in range(r.randrange(15))] for _ in range(40)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rows += [(900, None), (901, ""), (902, " \n"), (903, "A b"), (904, "a  B"), (905, "a"), rows[0], rows[3], (None, rows[0][1]), (None, "alone here now"),
+             (None, "alone here now"), (None, None), (2, "an id twice, quite another text, of more words")]
+    return rows
+
+
+@pytest.mark.parametrize("seed, percent, block", [(1, 85, 512), (2, 85, 4), (3, 75, 8)])
+def test_near_copies_equal_brute_force(spark, monkeypatch, seed, percent, block):
+    monkeypatch.setattr(hyperminhash, "BLOCK", block)
+    rows = copies(seed)
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"root": F.lit("mine"), "KEPT": F.lit("clash")}).repartition(4)
+    got = hyperminhash.near_copies(df, percent=percent)
+    assert got.columns == ["doc_id", "root", *hyperminhash.RESULTS]
+    told = sorted(((r.doc_id, r.n_shingles, r.component_id, bool(r.doc_id == r.component_id and r.doc_id is not None)) for r in got.collect()), key=str)
+    want = sorted(((d, n, c, d == c and d is not None) for d, n, c, _ in brute_components(rows, percent)), key=str)
+    # words without an id and without words are components of their own
+    assert [x for x in told if x[0] is not None] == [(d, n, c if n else d, (c if n else d) == d) for d, n, c, _ in want if d is not None]
+    assert [x[:3] for x in told if x[0] is None] == [x[:3] for x in want if x[0] is None]
+
+
+def test_near_copies_of_nothing(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert hyperminhash.near_copies(empty).collect() == []
+    none = spark.createDataFrame([(1, None), (1, ""), (None, " ")], "doc_id long, text string")
+    assert sorted(map(tuple, hyperminhash.near_copies(none).collect()), key=str) == [(1, 0, 1, True), (1, 0, 1, True), (None, 0, None, True)]
+
+
+def test_registers_estimate_similarity():
+    r = np.random.default_rng(3)
+    for n, common in [(1000, 900), (1000, 500), (20_000, 18_000), (300, 0), (20_000, 0)]:
+        h = hyperminhash.mix(r.integers(1, 1 << 62, 2 * n - common).astype(np.uint64))
+        a, b = h[:n], h[n - common:]
+        reg = hyperminhash.registers(np.concatenate([a, b]), np.repeat([0, 1], [n, n]), 2)
+        filled = np.array([((reg[0] | reg[1]) > 0).sum()])
+        size = np.array([n])
+        est, may = hyperminhash.allowed(np.array([((reg[0] == reg[1]) & (reg[0] > 0)).sum()]), filled, size, size, 85)
+        true = common / (2 * n - common)
+        assert abs(est[0] - true) < 0.16 and (may[0] or true < 0.85)
+    one = hyperminhash.registers(np.zeros(0, np.uint64), np.zeros(0, np.int64), 1)
+    assert not one.any() and not hyperminhash.band_keys(one).any()
