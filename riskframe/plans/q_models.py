@@ -147,9 +147,8 @@ def q_tuned(spark, sf_dir):
     """2 x 2 x 2 grid search of gradient boosting with 3-fold CV; best parameters."""
     train, _ = _split(spark, sf_dir)
     _, params, best = models.tune_boosting(train, max_rows=40_000, k=3)
-    return spark.createDataFrame([(int(params["maxIter"]), float(params["stepSize"]),
-                                   int(params["maxDepth"]), float(best))],
-                                 "max_iter int, step_size double, max_depth int, cv_average_precision double")
+    return spark.createDataFrame([(params["max_iter"], params["learning_rate"], params["max_leaf_nodes"], best)],
+                                 "max_iter int, learning_rate double, max_leaf_nodes int, cv_average_precision double")
 
 
 @register("permutation_importance")

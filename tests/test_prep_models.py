@@ -1,7 +1,6 @@
 """Splits, folds, preprocessing, models, segmentation and interpretation (properties)."""
 import numpy as np
 import pytest
-from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from riskframe.operators import explain, metrics, models, prep, segments
@@ -62,42 +61,6 @@ def test_models_beat_baseline_and_cv(spark):
     assert 0 <= cv["logreg"].cv_std < 0.2 and cv["logreg"].cv_mean > 0.5
 
 
-def test_stop_round():
-    falling = [1.0 / (i + 1) for i in range(40)]
-    assert models.stop_round(falling) is None and models.stop_round([]) is None
-    assert models.stop_round([1.0, 0.5] + [0.5] * 30) == 17        # 15 rounds after the second
-    assert models.stop_round([1.0, 0.5, 0.6, 0.4, 0.4, 0.4], patience=2) == 6
-    assert models.stop_round([float("nan")] * 40) is None          # no validation rows
-
-
-def test_boosting_stops_by_patience(spark):
-    df = models.prepare_training(signal_frame(spark, 400))
-    pre = prep.build_preprocessor(["x1", "x2"], ["cat"]).fit(df)
-    x = pre.transform(df).coalesce(1).persist()
-    gbt = GBTClassifier(featuresCol="features", labelCol="TARGET", maxIter=200, stepSize=0.05, maxDepth=2, seed=1)
-    model = models.EarlyStoppedBoosting(gbt).fit(x)
-    assert models.PATIENCE < model.getNumTrees <= 200
-    train, held = x.where("not is_validation"), x.where("is_validation")
-    losses = model.evaluateEachIteration(held)
-    assert len(losses) == model.getNumTrees and models.stop_round(losses[:-1]) is None
-    assert model.getNumTrees == 200 or models.stop_round(losses) == model.getNumTrees
-    # a prefix of the chain is the shorter fit
-    short = gbt.copy({gbt.maxIter: 5}).fit(train)
-    cut = models.first_rounds(model, 5)
-    p = {m: [r.p for r in models.score(v, x).orderBy("SK_ID_CURR").collect()]
-         for m, v in (("short", short), ("cut", cut), ("all", model))}
-    assert p["cut"] == pytest.approx(p["short"], abs=1e-12) and p["cut"] != p["all"]
-    x.unpersist()
-
-
-def test_tuning_small_grid(spark):
-    df = signal_frame(spark, 300)
-    best, params, score = models.tune_boosting(df, k=2, grid={"maxIter": [3, 5], "maxDepth": [2]},
-                                               parallelism=1)
-    assert params["maxIter"] in (3, 5) and 0 <= score <= 1
-    assert "p" in models.score(best, df).columns
-
-
 def test_permutation_of_unused_column_is_zero(spark):
     df = signal_frame(spark, 300).withColumn("noise", F.lit(1.0))
     train, test = prep.train_test_split(df, "TARGET", "SK_ID_CURR", 0.3, 2)
