@@ -75,7 +75,8 @@ def q_category_modes(spark, sf_dir):
     return prep.column_modes(app, CATS)
 
 
-SCALE_COLS = ["AMT_INCOME_TOTAL", "EXT_SOURCE_1", "DAYS_BIRTH", "CNT_CHILDREN"]
+SCALE_COLS = ["CNT_CHILDREN", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "DAYS_BIRTH", "DAYS_EMPLOYED",
+              "DAYS_REGISTRATION", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
 
 
 @register("standardized", matrix_sql(
@@ -83,7 +84,7 @@ SCALE_COLS = ["AMT_INCOME_TOTAL", "EXT_SOURCE_1", "DAYS_BIRTH", "CNT_CHILDREN"]
         f"(({c}::DOUBLE - avg({c}::DOUBLE) OVER ()) / coalesce(nullif(stddev_pop({c}::DOUBLE) OVER (), 0), 1)) AS {c}"
         for c in SCALE_COLS) + " FROM app_clean", SCALE_COLS))
 def q_standardized(spark, sf_dir):
-    """Population standardisation of four main-table columns (missing stays missing)."""
+    """Population standardisation of every numeric main-table column (missing stays missing)."""
     app = clean.clean_application(credit(spark, sf_dir)["application_train"], check_unique=False)
     return prep.standardize(app.select("SK_ID_CURR", *SCALE_COLS), SCALE_COLS)
 

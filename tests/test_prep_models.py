@@ -82,7 +82,7 @@ def test_silhouette_matches_brute_force(spark):
     lab = np.array([0] * 30 + [1] * 25 + [2])
     df = spark.createDataFrame([(i, int(lab[i]), [float(v) for v in pts[i]]) for i in range(len(lab))],
                                "k long, label int, x array<double>")
-    got = segments.silhouette_exact(df, "x", "label", "k", max_sample=1000)
+    got = segments.silhouette_euclidean_sample(df, "x", "label", "k", max_sample=1000)
     d = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(-1))
     s = []
     for i in range(len(lab)):
@@ -96,16 +96,60 @@ def test_silhouette_matches_brute_force(spark):
     assert got == pytest.approx(float(np.mean(s)), abs=1e-12)
 
 
-def test_kmeans_restarts_and_profile(spark):
-    df = signal_frame(spark, 200)
-    pre = segments.fit_cluster_preprocessor(df, ["x1", "x2"])
-    x = pre.transform(df).persist()
-    best = segments.fit_kmeans(x, 3, n_init=3, parallelism=2)
-    costs = [segments.KMeans(k=3, seed=42 + i, maxIter=300, featuresCol="features")
-             .fit(x).summary.trainingCost for i in range(3)]
-    assert best.summary.trainingCost == pytest.approx(min(costs))
-    prof = segments.profile_clusters(best.transform(x), ["x1", "x2"])
-    assert sum(r.cluster_size for r in prof.collect()) == 200
+def test_silhouette_of_all_rows_matches_brute_force(spark):
+    """More rows than any sample, a cluster of one row, rows without label or features."""
+    rng = np.random.default_rng(5)
+    pts = np.vstack([rng.normal(1000, 1, (5000, 2)), rng.normal(1004, 1, (4000, 2)), rng.normal([1000, 1009], 1, (1, 2))])
+    lab = np.array([3] * 5000 + [1] * 4000 + [7])
+    rows = [(int(c), p.tolist()) for c, p in zip(lab, pts)] + [(None, [0.0, 0.0]), (1, None), (1, [0.0, None])]
+    df = spark.createDataFrame(rows, "label int, x array<double>").repartition(3)
+    s = np.zeros(len(pts))
+    for i in range(0, len(pts), 500):
+        d = ((pts[i:i + 500, None] - pts[None]) ** 2).sum(2)
+        sums = np.stack([d[:, lab == c].sum(1) for c in (1, 3, 7)], 1)
+        n = np.array([4000, 5000, 1])
+        own = np.searchsorted([1, 3, 7], lab[i:i + 500])
+        at = np.arange(len(own))
+        a = sums[at, own] / np.maximum(n[own] - 1, 1)
+        mean = sums / n
+        mean[at, own] = np.inf
+        b = mean.min(1)
+        s[i:i + 500] = np.where(n[own] > 1, (b - a) / np.maximum(a, b), 0)
+    assert segments.silhouette(df, "x", "label") == pytest.approx(float(s.mean()), abs=1e-9)
+    assert segments.silhouette(df.limit(0), "x", "label") is None
+    assert segments.silhouette(df.where("label = 7"), "x", "label") == 0.0
+    flat = df.select("label", *[F.col("x")[i].alias(f"x{i}") for i in range(2)])
+    assert segments.silhouette(flat, ["x0", "x1"], "label") == pytest.approx(float(s.mean()), abs=1e-9)
+
+
+def test_kmeans_starts_in_one_run(spark):
+    df = signal_frame(spark, 300)
+    x = segments.fit_cluster_preprocessor(df, ["x1", "x2"]).transform(df).repartition(3).persist()
+    from riskframe.operators.design import blocks
+    of = blocks(x.select(segments.vector_to_array("features").alias("x")), segments._points)
+    starts = segments._starts(of, 3, [2, 3], 3, 42)
+    first = [f.centres.copy() for f in starts]
+    together = segments.lloyd(of, 3, starts)
+    pts = np.array([r.features.toArray() for r in x.collect()])
+    for c, f in zip(first, together):                                   # each fit alone, from the same start
+        for _ in range(300):
+            own = ((pts[:, None] - c[None]) ** 2).sum(2).argmin(1)
+            new = np.stack([pts[own == j].mean(0) if (own == j).any() else c[j] for j in range(len(c))])
+            if (((new - c) ** 2).sum(1) <= 1e-8).all():
+                break
+            c = new
+        assert f.done and f.cost == pytest.approx(((pts[:, None] - c[None]) ** 2).sum(2).min(1).sum()) and len(c) == f.k
+    from pyspark.ml.clustering import KMeans
+    sparks = min(KMeans(k=3, seed=s, maxIter=300, featuresCol="features").fit(x).summary.trainingCost for s in range(3))
+    model = segments.fit_kmeans(x, 3, n_init=5)
+    assert segments.fit_centres(x, [3], 5)[0].cost <= sparks * 1.02
+    prof = segments.profile_clusters(model.transform(x), ["x1", "x2"])
+    assert sum(r.cluster_size for r in prof.collect()) == 300
+    same = spark.createDataFrame([(i, 0, 1.0, 1.0, "a") for i in range(5)], df.schema)
+    y = segments.fit_cluster_preprocessor(same, ["x1", "x2"]).transform(same)
+    assert segments.fit_centres(y, [3], 2)[0].cost == 0.0               # fewer different rows than k
+    scan = segments.find_optimal_k(x, "SK_ID_CURR", [2, 3], n_init=2, euclidean_sample=100).collect()
+    assert [r.k for r in scan] == [2, 3] and scan[0].inertia > scan[1].inertia and all(0 < r.silhouette < 1 for r in scan)
     with pytest.raises(ValueError):
         segments.select_cluster_features(df, ["x1", "TARGET"])
 
