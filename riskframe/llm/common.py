@@ -5,6 +5,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one numpy step works on; a longer document is a step of its own.
 SLICE_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -30,11 +33,27 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of ``BATCH_BYTES`` at most for the jobs within: rows that carry texts or
+    sets are wide, and a batch is held by the JVM and by the worker."""
+    before = spark.conf.get(_BATCH_SETTING, None)
+    spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_SETTING)
+        else:
+            spark.conf.set(_BATCH_SETTING, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage
     with a copy that survives lost executors."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -66,13 +85,14 @@ def utf8_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarra
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes each, one row at least."""
+def slices(offsets: np.ndarray, limit: int = SLICE_BYTES, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``limit`` bytes each, one row at least and at most ``rows``."""
     a, n = 0, len(offsets) - 1
     while a < n:
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
-        yield a, min(b, n)
-        a = min(b, n)
+        b = min(b, n, a + (rows or n))
+        yield a, b
+        a = b
 
 
 def lower_table() -> np.ndarray:

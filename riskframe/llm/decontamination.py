@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, slices, span_hashes, utf8_column, window_hashes, without, word_bounds
+from .common import LOWER, slices, span_hashes, staged, utf8_column, window_hashes, without, word_bounds
 
 N_WORDS = 13
 #: Windows in one broadcast chunk (about 100 bytes each).
@@ -81,15 +81,20 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS, text_col: str
     base = without(docs, *RESULTS, "_hit", "_bytes")
     out = base.withColumns({"n_words": F.lit(0).cast("long"), "_hit": F.lit(b""), "_bytes": F.lit(b""),
                             "hit_items": F.array().cast("array<string>")})
+    spans = T.ArrayType(T.StructType([T.StructField(x, T.LongType()) for x in ("word", "words", "byte", "bytes")]))
+    fin = T.StructType([*[f for f in out.schema.fields if f.name not in ("_hit", "_bytes")],
+                        T.StructField("n_hit", T.LongType()), T.StructField("hit_spans", spans)])
     for c in range(chunks):
         part = windows.where(F.pmod(F.xxhash64("w"), F.lit(chunks)) == c) if chunks > 1 else windows
         index = {bytes(r["w"]): list(r["items"]) for r in part.toLocalIterator()}
-        out = out.mapInArrow(_scanner(spark.sparkContext.broadcast(index), text_col), out.schema)
+        shared = spark.sparkContext.broadcast(index)
+        step = _scanner(shared, text_col)
+        if c < chunks - 1:                                               # one chunk's dictionary at a time
+            out = staged(out.mapInArrow(step, out.schema), "decontamination")
+            shared.unpersist()
+        else:
+            out = out.mapInArrow(lambda batches: _finish(step(batches)), fin)
     windows.unpersist()
-    spans = T.ArrayType(T.StructType([T.StructField(x, T.LongType()) for x in ("word", "words", "byte", "bytes")]))
-    fin = T.StructType([*[f for f in out.schema.fields if f.name not in ("_hit", "_bytes")],
-                        T.StructField("n_hit", T.LongType()), T.StructField("hit_spans", spans)])
-    out = out.mapInArrow(_finish, fin)
     return out.withColumn("hit_items", F.array_sort("hit_items")).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
 

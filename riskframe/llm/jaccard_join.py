@@ -48,7 +48,7 @@ PERCENT = 75
 SKETCH_BITS = 20
 #: Text bytes whose prefix entries make up one bucket, about.
 BUCKET_BYTES = 8 << 20
-FLUSH_ENTRIES = 1 << 20
+FLUSH_ENTRIES = 1 << 18
 #: Passes of a verification, so that the sets on their way at one time are a part of all.
 PASSES = 4
 #: Longs of a set's parities.
