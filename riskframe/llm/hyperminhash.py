@@ -15,7 +15,10 @@ A document's set is its distinct ``n``-word shingles (words: runs of anything bu
    shingles a bucket chance makes a share of ``2**-MANTISSA * a*b / ((a+b)**2 * 2 ln 2)``
    equal, which is taken out of the share of equal registers.  A pair is dropped where that estimate is
    ``SIGMAS`` standard deviations of a pair at the threshold below it, or where more registers
-   differ than the differing shingles of a pair at the threshold could change.
+   differ than the differing shingles of a pair at the threshold could change.  Beside the
+   registers a node has the parity of its shingles in each of ``CLASSES`` hash classes: as many
+   shingles differ as parities at least, which keeps sets of up to some thousand shingles apart
+   that are alike but do not link.
 4. **Verification.**  What is left is compared on the full sets, in three steps.  (a) In every
    group one node, that which meets the most others, is paired with the rest; each node keeps
    its best pair.  (b) Of the groups that still hold several components, each node's best
@@ -48,6 +51,11 @@ N_WORDS, PERCENT = 5, 85
 HASHES, BUCKETS, BAND, MANTISSA = 16, 10, 5, 10
 REGISTERS, BANDS = HASHES * BUCKETS, HASHES * BUCKETS // BAND
 SIGMAS = 4.5
+#: Hash classes whose parities are kept, and the 16-bit words of a whole sketch.
+CLASSES = 1024
+WORDS = REGISTERS + CLASSES // 16
+#: Rows of a numpy step at most: short texts have sketches of full size.
+STEP_ROWS = 2048
 #: Nodes of a block; two blocks are compared by one numpy step.
 BLOCK = 512
 RESULTS = ("n_shingles", "component_id", "kept")
@@ -85,6 +93,26 @@ def band_keys(reg: np.ndarray) -> np.ndarray:
     return key
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """The parities of every set's hash classes, in 16-bit words."""
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    count = np.bincount(row * CLASSES + ((flat >> np.uint64(40)) % np.uint64(CLASSES)).astype(np.int64), minlength=len(sets) * CLASSES)
+    return np.packbits((count & 1).astype(np.uint8)).view(np.uint16).reshape(len(sets), -1)
+
+
+def alike(one: np.ndarray, other: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(estimates, whether the pair may link) of pairs of whole sketches."""
+    a, b = one[..., :REGISTERS], other[..., :REGISTERS]
+    filled = (a | b) > 0
+    differ = np.bitwise_count(one[..., REGISTERS:] ^ other[..., REGISTERS:]).sum(-1, dtype=np.int64)
+    estimate, may = allowed(((a == b) & filled).sum(-1), filled.sum(-1), na, nb, percent)
+    most = (100 - percent) * (na + nb) / (100 + percent)               # shingles that differ at the threshold
+    share = 0.5 * (1 - (1 - 2 / CLASSES) ** most)
+    usual = CLASSES * share + SIGMAS * np.sqrt(CLASSES * share * (1 - share)) + 1
+    return estimate, may & (differ <= most) & (differ <= usual)
+
+
 def allowed(equal: np.ndarray, filled: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(estimates of the Jaccard similarity, whether the pair may link) from the equal and the
     filled registers of pairs of sets of ``na`` and ``nb`` shingles."""
@@ -107,10 +135,11 @@ def sketched(docs: DataFrame, text_col: str, n: int) -> DataFrame:
         for b in batches:
             raw, off = utf8_column(b, text_col)
             rest = [x for x in b.schema.names if x != text_col]
-            for lo, hi in slices(off):
+            for lo, hi in slices(off, rows=STEP_ROWS):
                 h, cut = shingle_rows(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], n)
                 reg = registers(h, np.repeat(np.arange(hi - lo), np.diff(cut)), hi - lo)
                 sets = [np.unique(h[cut[r]:cut[r + 1]]) for r in range(hi - lo)]
+                reg = np.concatenate([reg, parities(sets)], 1)
                 part = b.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(part.schema.get_field_index(x)) for x in rest]
@@ -121,7 +150,7 @@ def sketched(docs: DataFrame, text_col: str, n: int) -> DataFrame:
 
 
 def _matrix(col: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(col.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    return np.frombuffer(b"".join(col.to_pylist()), np.uint16).reshape(-1, WORDS)
 
 
 def band_entries(nodes: DataFrame) -> DataFrame:
@@ -130,7 +159,7 @@ def band_entries(nodes: DataFrame) -> DataFrame:
         for b in batches:
             for a in range(0, b.num_rows, 1024):
                 part = b.slice(a, 1024)
-                key = band_keys(_matrix(part.column(2)))
+                key = band_keys(_matrix(part.column(2))[:, :REGISTERS])
                 row, band = np.nonzero(key)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[row, band].view(np.int64)), pa.array(band.astype(np.int32)),
@@ -147,9 +176,8 @@ def estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 2048):
                 part = b.slice(at, 2048)
-                ra, rb = _matrix(part.column(3)), _matrix(part.column(5))
-                filled = ((ra | rb) > 0)
-                est, may = allowed(((ra == rb) & filled).sum(1), filled.sum(1), *(part.column(i).to_numpy() for i in (2, 4)), percent)
+                na, nb = (part.column(i).to_numpy() for i in (2, 4))
+                est, may = alike(_matrix(part.column(3)), _matrix(part.column(5)), na, nb, percent)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(est)],
                                                  names=["a", "b", "estimate"]).filter(pa.array(may))
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "ra", "nb", "rb")
@@ -200,12 +228,13 @@ def _compared(root: np.ndarray, nid: np.ndarray, size: np.ndarray, reg: np.ndarr
         j = j[root[j] != root[i]]
         if not len(j):
             continue
-        same, filled = reg[j] == reg[i], (reg[j] | reg[i]) > 0
-        est, may = allowed((same & filled).sum(1), filled.sum(1), size[j], size[i], percent)
-        if not nearest:                                              # each pair in its first common band only
-            alike = (same.reshape(len(j), BANDS, BAND).all(2)) & filled.reshape(len(j), BANDS, BAND).any(2)
-            may &= alike.argmax(1) == band
-        out.append((np.full(int(may.sum()), nid[i]), nid[j[may]], est[may]))
+        est, may = alike(reg[j], reg[i], size[j], size[i], percent)
+        j, est = j[may], est[may]
+        if not nearest and len(j):                                   # each pair in its first common band only
+            mine, others = (reg[x][..., :REGISTERS].reshape(-1, BANDS, BAND) for x in (i, j))
+            first_band = ((others == mine).all(2) & (mine > 0).any(2)).argmax(1) == band
+            j, est = j[first_band], est[first_band]
+        out.append((np.full(len(j), nid[i]), nid[j], est))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     a, b, est = (np.concatenate(x) for x in zip(*out))
