@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import local_threads, mix, shared_dir, slices, utf8_column
+from .common import local_threads, mix, shared_dir, slices, small_batches, utf8_column
 
 #: UTF-8 bytes of text in one file, about.
 FILE_BYTES = 8 << 20
 #: Distinct pieces that a worker keeps encoded; beyond it starts anew.
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 750_000
 _NULL_ID = -(1 << 63)
 _HEAD = "<IBq"
 
@@ -257,7 +257,8 @@ def write_records(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     ordered = base.repartitionByRange(files, "id").sortWithinPartitions("id", "text")
-    ordered.mapInArrow(run, "record binary").select(F.col("record").cast("string")).write.text(path)
+    with small_batches(spark):
+        ordered.mapInArrow(run, "record binary").select(F.col("record").cast("string")).write.text(path)
     return path
 
 
