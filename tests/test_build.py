@@ -12,8 +12,8 @@ from .conftest import SF_SMALL
 def test_build_all_writes_reloadable_artifacts(spark, tmp_root):
     tables = fixtures.credit_tables(fixtures.TableSet(spark, SF_SMALL))
     summary = build.build_all(spark, tables, tmp_root, k=3, tune=True, n_init=2,
-                              grid={"maxIter": [3], "maxDepth": [2, 3]})
-    assert summary["clusters"] == 3 and summary["best_params"]["maxIter"] == 3
+                              grid={"max_iter": [3], "max_leaf_nodes": [4, 8]})
+    assert summary["clusters"] == 3 and summary["best_params"]["max_iter"] == 3
     ok, missing = io.artifacts_exist(spark, tmp_root)
     assert ok, missing
     model = io.load_model(tmp_root, "best_model", PipelineModel)
