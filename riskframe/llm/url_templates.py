@@ -53,7 +53,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     rule = verdict = F.lit(None).cast("string")
     for kind, r in sorted(rules, key=lambda x: len(x[1])):      # longer ones are put around shorter ones
         name, _, rest = r.partition("/")
-        fits = host.rlike(r"(^|\.)" + re.escape(name) + r"$") & path.startswith("/" + rest)
+        fits = host.rlike(r"(^|\.)" + re.escape(name) + r"\z") & path.startswith("/" + rest)
         rule, verdict = F.when(fits, F.lit(r)).otherwise(rule), F.when(fits, F.lit(kind)).otherwise(verdict)
     return rule, verdict
 

@@ -300,3 +300,11 @@ def test_registers_estimate_similarity():
         assert abs(est[0] - true) < 0.16 and (may[0] or true < 0.85)
     one = hyperminhash.registers(np.zeros(0, np.uint64), np.zeros(0, np.int64), 1)
     assert not one.any() and not hyperminhash.band_keys(one).any()
+
+
+def test_url_rules_fit_whole_hosts(spark):
+    """A host that ends with a line feed is another host."""
+    from riskframe.llm import url_templates
+    df = spark.createDataFrame([("http://example.com/en/a",), ("http://example.com\n/en/a",), ("http://a.example.com/en/a",)], "url string")
+    rule, _ = url_templates.rule_of(url_templates.host_of(F.col("url")), url_templates.path_of(F.col("url")))
+    assert [r.rule for r in df.select(rule.alias("rule")).collect()] == ["example.com/en/", None, "example.com/en/"]
