@@ -4,10 +4,10 @@ A document's set is its distinct ``n``-word shingles (words: runs of anything bu
 \\t to \\r, A-Z lowered; a shorter text is one shingle).  Two sets link when
 ``100 * intersection >= percent * union``.
 
-1. Shingle occurrences of all documents are counted in a table of ``2**sketch_bits`` cells
-   (a fixed size, summed on the executors, then broadcast).  Cell count, then hash, is the
-   order of shingles, rare ones first; any order gives right results, this one keeps common
-   passages out of the prefixes.
+1. Shingle occurrences of all documents are counted in a table of cells, about one for four
+   text bytes and ``2**SKETCH_BITS`` at most (8 MB to broadcast).  Cell count, by eighths of
+   an octave, then hash, is the order of shingles, rare ones first; any order gives right
+   results, this one keeps common passages out of the prefixes.
 2. Equal sets are one node, named by a 128-bit digest.  Linked sets share a shingle among
    their first ``size - ceil(size * percent / 100) + 1``.  Prefix entries travel packed, one
    row per task and hash bucket, and buckets keep the shingles of two nodes or more.
@@ -20,7 +20,8 @@ A document's set is its distinct ``n``-word shingles (words: runs of anything bu
    by shingle with length, positional and suffix filters.  Sets are split into four hash
    ranges; the common part is at most the sum of the lesser counts.  And a set has a parity
    for each of ``64 * SIG_LONGS`` hash classes: the parities that differ are at most the
-   members that differ.  Of these pairs, each node's most promising one (fewest differing
+   members that differ.  A set of more members has parities of as many more classes, which
+   are compared once for every pair left.  Of these pairs, each node's most promising one (fewest differing
    parities for its size) is verified first; pairs whose nodes are in one component by then
    need no verification, all others are verified.  Each pair is verified once at most, and
    no link between different components is lost.
@@ -37,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,14 +47,17 @@ from .components import components
 
 N_WORDS = 5
 PERCENT = 75
-SKETCH_BITS = 20
+#: The count table has at most 2 to this power cells, of a byte each where it is broadcast.
+SKETCH_BITS = 23
 #: Text bytes whose prefix entries make up one bucket, about.
 BUCKET_BYTES = 8 << 20
 FLUSH_ENTRIES = 1 << 18
-#: Passes of a verification, so that the sets on their way at one time are a part of all.
-PASSES = 4
+#: Digests of the sets that a task has seen, so that copies within a task have entries once.
+SEEN_SETS = 200_000
 #: Longs of a set's parities.
-SIG_LONGS = 16
+SIG_LONGS = 8
+#: Hash classes of a set's long parities at most.
+WIDE_CLASSES = 1 << 24
 _QUARTERS = ("q0", "q1", "q2", "q3")
 _PARITIES = tuple(f"g{i}" for i in range(SIG_LONGS))
 RESULTS = ("n_shingles", "component_id")
@@ -107,40 +112,64 @@ def signature(s: np.ndarray) -> np.ndarray:
     return np.append(quarter.astype(np.int64), np.packbits(count & 1).view(np.int64))
 
 
-def sketch(docs: DataFrame, text_col: str, n: int = N_WORDS, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Occurrences of shingles of all documents by the low bits of their hash, cut to 16 bits
-    after division by their mean, so that the order does not depend on the corpus size."""
-    cells, part = 1 << bits, 1 << 14
+def wide_parities(s: np.ndarray) -> bytes | None:
+    """Parities of a set too large for the signature: two classes for every member, or more, a
+    power of two, so that the longer of two can be folded to the shorter; else nothing."""
+    classes = min(WIDE_CLASSES, 1 << (2 * len(s) - 1).bit_length()) if len(s) else 0
+    if classes <= 64 * SIG_LONGS:
+        return None
+    count = np.bincount(((s >> np.uint64(40)) % np.uint64(classes)).astype(np.int64), minlength=classes)
+    return np.packbits(count & 1).tobytes()
+
+
+def wide_differ(x: np.ndarray, y: np.ndarray) -> int:
+    """Classes of different parity: at most the members that differ."""
+    few, many = sorted((x, y), key=len)
+    return int(np.bitwise_count(few ^ np.bitwise_xor.reduce(many.reshape(-1, len(few)), axis=0)).sum())
+
+
+def sketch(docs: DataFrame, text_col: str, n: int = N_WORDS, size: int = 0) -> np.ndarray:
+    """Occurrences of shingles of all documents (``size`` bytes) by the low bits of their hash,
+    in eighths of an octave."""
+    part = 1 << 14
+    cells = 1 << min(SKETCH_BITS, max(16, (size // 4).bit_length()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.int64)
+        total = np.zeros(cells, np.uint32)
         for b in batches:
             raw, off = utf8_column(b, text_col)
             for lo, hi in slices(off):
                 h, _ = shingle_rows(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], n)
-                total += np.bincount((h & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
-        if total.any():
-            kind = np.uint16 if total.max() < 1 << 16 else np.int64
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(cells // part), pa.int32()), pa.array([np.dtype(kind).str] * (cells // part)),
-                 pa.array([total[i:i + part].astype(kind).tobytes() for i in range(0, cells, part)], pa.binary())],
-                names=["part", "kind", "cells"])
+                at, many = np.unique(h & np.uint64(cells - 1), return_counts=True)
+                total[at.astype(np.int64)] += many.astype(np.uint32)
+        for lo in range(0, cells, 64 * part):
+            rows = []
+            for i in range(lo, min(cells, lo + 64 * part), part):
+                at = np.flatnonzero(total[i:i + part])
+                if len(at):
+                    many = total[i + at]
+                    kind = next(k for k in (np.uint8, np.uint16, np.uint32) if many.max() <= np.iinfo(k).max)
+                    rows.append((i // part, np.dtype(kind).str, at.astype(np.uint16).tobytes(), many.astype(kind).tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.string(), pa.binary(), pa.binary()))],
+                    names=["part", "kind", "at", "many"])
 
     def add(key: tuple[pa.Scalar, ...], tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(part, np.int64)
         for t in tables:
-            for kind, c in zip(t.column(1).to_pylist(), t.column(2)):
-                total += np.frombuffer(c.as_buffer(), kind)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+            for kind, at, many in zip(t.column(1).to_pylist(), t.column(2), t.column(3)):
+                total[np.frombuffer(at.as_buffer(), np.uint16)] += np.frombuffer(many.as_buffer(), kind)
+        level = np.minimum(8 * np.log2(1 + total), 255).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([level.tobytes()], pa.binary())],
                                          names=["part", "cells"])
 
-    parts = docs.select(text_col).mapInArrow(count, "part int, kind string, cells binary")
+    parts = docs.select(text_col).mapInArrow(count, "part int, kind string, at binary, many binary")
     summed = parts.groupBy("part").applyInArrow(add, "part int, cells binary")
-    total = np.zeros(cells, np.int64)
+    levels = np.zeros(cells, np.uint8)
     for r in summed.toLocalIterator():
-        total[r["part"] * part:(r["part"] + 1) * part] = np.frombuffer(r["cells"], np.int64)
-    mean = max(1.0, float(total.mean()))
-    return np.minimum(total / mean * 64, (1 << 16) - 1).astype(np.uint16)
+        levels[r["part"] * part:(r["part"] + 1) * part] = np.frombuffer(r["cells"], np.uint8)
+    return levels
 
 
 def prefix_length(size: int, percent: int) -> int:
@@ -161,39 +190,43 @@ def _packed(entries: list[tuple], buckets: int) -> pa.RecordBatch:
 
 
 def nodes_of(docs: DataFrame, text_col: str, n: int) -> DataFrame:
-    """``docs`` with _node (digest of the set, null if empty), n_shingles, _sig (its signature)
-    and _text (a hash of the text, by which the text is found again)."""
+    """``docs`` with _node (digest of the set, null if empty), n_shingles, _sig (its signature),
+    _wide (its long parities, null for small sets) and _text (a hash of the text, by which the text is found again)."""
     base = docs.withColumn("_text", F.xxhash64(F.col(text_col)))
     schema = base.withColumns({"_node": F.lit(None).cast("binary"), "n_shingles": F.lit(0).cast("long"),
-                               "_sig": F.array(F.lit(0).cast("long"))}).drop(text_col).schema
+                               "_sig": F.array(F.lit(0).cast("long")), "_wide": F.lit(None).cast("binary")}).drop(text_col).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [(digest(s) if len(s) else None, len(s), signature(s)) for s in _sets(b, text_col, n)]
+            sets = [(digest(s) if len(s) else None, len(s), signature(s), wide_parities(s)) for s in _sets(b, text_col, n)]
             keep = [x for x in b.schema.names if x != text_col]
             yield pa.RecordBatch.from_arrays(
                 [b.column(b.schema.get_field_index(x)) for x in keep]
-                + [pa.array([x for x, _, _ in sets], pa.binary()), pa.array([x for _, x, _ in sets], pa.int64()),
-                   pa.array([x for _, _, x in sets], pa.list_(pa.int64()))],
-                names=[*keep, "_node", "n_shingles", "_sig"])
+                + [pa.array([s[i] for s in sets], kind) for i, kind in enumerate(
+                    (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()))],
+                names=[*keep, "_node", "n_shingles", "_sig", "_wide"])
     return base.mapInArrow(run, schema)
 
 
 def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: int, n: int, percent: int) -> DataFrame:
-    """Prefix entries (h, node, n, pos) of the shingles that two nodes or more have."""
+    """Prefix entries (h, node, n, pos) of the shingles that two nodes or more have; ``many``: how many."""
     shared = docs.sparkSession.sparkContext.broadcast(cells)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = shared.value
         mask = np.uint64(len(count) - 1)
-        held, size = [], 0
+        held, size, seen = [], 0, set()
         for b in batches:
             for s in _sets(b, text_col, n):
-                if not len(s):
+                name = digest(s)
+                if not len(s) or name in seen:
                     continue
+                if len(seen) >= SEEN_SETS:
+                    seen.clear()
+                seen.add(name)
                 p = prefix_length(len(s), percent)
                 h = s[np.argsort(count[(s & mask).astype(np.int64)], kind="stable")[:p]]
-                d = np.frombuffer(digest(s), ">u8")
+                d = np.frombuffer(name, ">u8")
                 held.append((h, np.full(p, d[0], np.uint64), np.full(p, d[1], np.uint64), np.full(p, len(s), np.uint32),
                              np.arange(p, dtype=np.uint32)))
                 size += p
@@ -225,18 +258,18 @@ def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: in
         lead = np.flatnonzero(first)
         many = np.diff(np.append(lead, len(h)))
         keep = np.repeat(many > 1, many)
-        order, h = order[keep], h[keep]
+        order, h, many = order[keep], h[keep], np.repeat(many, many)[keep]
         name = np.stack([s1, s2], 1).astype(">u8")
         fixed = lambda x: pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(x), [None, pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())
         for lo in range(0, len(h), 100_000):
             at = slice(lo, lo + 100_000)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h[at].view(np.int64)), fixed(name[keep][at]),
-                 *[pa.array(c[x][order[at]].astype(np.int64)) for x in ("n", "pos")]],
-                names=["h", "node", "n", "pos"])
+                 *[pa.array(c[x][order[at]].astype(np.int64)) for x in ("n", "pos")], pa.array(many[at].astype(np.int64))],
+                names=["h", "node", "n", "pos", "many"])
 
     rows = docs.select(text_col).mapInArrow(emit, "bucket long, " + ", ".join(f"{x} binary" for x, _ in _ENTRY))
-    return rows.groupBy("bucket").applyInArrow(group, "h long, node binary, n long, pos long")
+    return rows.groupBy("bucket").applyInArrow(group, "h long, node binary, n long, pos long, many long")
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -258,6 +291,22 @@ def _suffixes_allow(a: str, b: str, percent: int) -> Column:
                   f"AND {100 + percent} * {_differ(a, b)} <= {100 - percent} * ({a}.n + {b}.n)")
 
 
+def parities_allow(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, ...) whose long parities, where both have them, allow a link."""
+    names = pairs.columns
+    for end in ("a", "b"):
+        pairs = pairs.join(sigs.select(F.col("node").alias(end), F.col("n").alias(f"_n{end}"), F.col("wide").alias(f"_w{end}")), end)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            col = dict(zip(b.schema.names, b.columns))
+            keep = [not (x.is_valid and y.is_valid) or (100 + percent) * wide_differ(
+                np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)) <= (100 - percent) * both
+                for x, y, both in zip(col["_wa"], col["_wb"], pc.add(col["_na"], col["_nb"]).to_pylist())]
+            yield b.select(names).filter(pa.array(keep, pa.bool_()))
+    return pairs.select(*names, "_na", "_nb", "_wa", "_wb").mapInArrow(run, pairs.select(*names).schema)
+
+
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that link.  Only the texts of nodes in pairs are read."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -282,35 +331,30 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str,
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     found = staged(some.select("text").mapInArrow(sets, "node binary, s binary"), "jaccard-sets")
-    out = None
-    for k in range(PASSES):
-        mine = lambda c: F.pmod(F.xxhash64(c), F.lit(PASSES)) == k
-        rows = pairs.select("a", "b").where(mine("b")).join(
-            found.where(mine("node")).select(F.col("node").alias("b"), F.col("s").alias("_sb")), "b")
-        rows = rows.join(found.select(F.col("node").alias("a"), F.col("s").alias("_sa")), "a")
-        links = staged(rows.select("a", "b", "_sa", "_sb").mapInArrow(check, "a binary, b binary"), "jaccard-verified")
-        out = links if out is None else out.union(links)
+    rows = pairs.select("a", "b").join(found.select(F.col("node").alias("b"), F.col("s").alias("_sb")), "b")
+    rows = rows.join(found.select(F.col("node").alias("a"), F.col("s").alias("_sa")), "a")
+    links = staged(rows.select("a", "b", "_sa", "_sb").mapInArrow(check, "a binary, b binary"), "jaccard-verified")
     discard(found)
-    return out
+    return links
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N_WORDS,
                     percent: int = PERCENT, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, DataFrame]:
     """(rows, roots): every row of ``docs`` without its text, with n_shingles and _node;
     and (node, root) of the nodes that link with another."""
-    base = without(docs, *RESULTS, "_node", "_text", "_sig")
+    base = without(docs, *RESULTS, "_node", "_text", "_sig", "_wide")
     nodes = staged(nodes_of(base, text_col, n), "jaccard-nodes")
-    cells = sketch(base, text_col, n)
     size = base.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    cells = sketch(base, text_col, n, size)
     groups = staged(prefix_groups(base, text_col, cells, max(1, -(-size // bucket_bytes)), n, percent), "jaccard-groups")
 
-    sigs = nodes.where("_node is not null").select(F.col("_node").alias("node"), F.col("n_shingles").alias("n"), "_sig").join(
+    sigs = nodes.where("_node is not null").select(F.col("_node").alias("node"), F.col("n_shingles").alias("n"), "_sig", F.col("_wide").alias("wide")).join(
         groups.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    sigs = staged(sigs.select("node", "n", *[F.col("_sig")[i].alias(c) for i, c in enumerate(_QUARTERS + _PARITIES)]),
+    sigs = staged(sigs.select("node", "n", "wide", *[F.col("_sig")[i].alias(c) for i, c in enumerate(_QUARTERS + _PARITIES)]),
                   "jaccard-signatures")
     # the node that shares the most entries leads: an original more than its edited copies
-    weight = groups.groupBy("h").agg(F.count(F.lit(1)).alias("many")).join(groups, "h").groupBy("node").agg(
-        F.sum("many").alias("weight"))
+    weight = groups.groupBy("node").agg(F.sum("many").alias("weight"))
+    groups = groups.drop("many")
     heavy = staged(groups.join(weight, "node"), "jaccard-weights")
     best = heavy.groupBy("h").agg(F.max(F.struct("weight", "node", "n", "pos")).alias("b")).select("h", "b.*")
     stars = heavy.alias("a").join(best.alias("b"), (F.col("a.h") == F.col("b.h")) & (F.col("a.node") != F.col("b.node"))
@@ -318,21 +362,24 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = stars.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
     stars = stars.alias("p").join(sigs.alias("x"), F.col("p.a") == F.col("x.node")).join(
         sigs.alias("y"), F.col("p.b") == F.col("y.node")).where(_suffixes_allow("x", "y", percent)).select("p.a", "p.b")
-    stars = staged(stars, "jaccard-stars")
+    stars = staged(parities_allow(stars, sigs, percent), "jaccard-stars")
     discard(heavy)
     links = verified(stars, base, nodes, text_col, n, percent)
     roots = components(links)
 
-    named = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_groups = named.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
-    named = named.join(open_groups, "h", "left_semi")
-    signed = named.join(sigs.drop("n"), "node")
+    # a node without links is its own root, which travels as null
+    named = groups.join(roots, "node", "left")
+    own = F.coalesce("root", "node")
+    open_groups = named.groupBy("h").agg(F.min(own).alias("r0"), F.max(own).alias("r1")).where("r0 <> r1").select("h")
+    signed = named.join(sigs.drop("n", "wide"), "node").join(open_groups, "h", "left_semi")    # by h, as the self-join
     a, b = signed.alias("a"), signed.alias("b")
-    rest = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
+    rest = a.join(b, (F.col("a.h") == F.col("b.h")) & F.expr("coalesce(a.root, a.node) <> coalesce(b.root, b.node)") & (F.col("a.node") < F.col("b.node"))
                   & _may_link("a", "b", percent) & _suffixes_allow("a", "b", percent)).select(
         F.col("a.node").alias("a"), F.col("b.node").alias("b"),
         F.expr(f"1000000 * {_differ('a', 'b')} div (a.n + b.n)").alias("far")).distinct()
-    rest = staged(rest.join(stars, ["a", "b"], "left_anti"), "jaccard-rest")
+    rest = staged(parities_allow(rest.join(stars, ["a", "b"], "left_anti"), sigs, percent), "jaccard-rest")
+    discard(groups)
+    discard(sigs)
     ends = rest.select(F.col("a").alias("node"), "far", "a", "b").union(rest.select("b", "far", "a", "b"))
     near = ends.groupBy("node").agg(F.min(F.struct("far", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
     near = staged(near, "jaccard-near")
@@ -353,7 +400,7 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -
     names the component (null: an empty set)."""
     nodes, roots = link_components(docs, id_col, text_col, n, percent)
     return nodes.join(roots.select(F.col("node").alias("_node"), "root"), "_node", "left") \
-        .withColumn("root", F.coalesce("root", "_node")).drop("_node", "_sig")
+        .withColumn("root", F.coalesce("root", "_node")).drop("_node", "_sig", "_wide")
 
 
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N_WORDS,

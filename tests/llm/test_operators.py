@@ -335,3 +335,37 @@ def test_pipeline(spark):
         assert out.columns == docs.columns
         docs = out
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count() > 0
+
+
+def test_jaccard_of_long_texts(spark):
+    """Sets with long parities: links at and around the threshold are those of brute force, and
+    the classes of different parity never exceed the members that differ."""
+    r = random.Random(11)
+    rows, pool = [], [f"w{i}" for i in range(400)]
+    for g, size in enumerate((500, 900, 1500, 2600)):
+        base = [r.choice(pool) for _ in range(size)]
+        for k, share in enumerate((0.0, 0.02, 0.14, 0.15, 0.24, 0.26, 0.3)):
+            cut = int(size * share)
+            rows.append((100 * g + 2 * k, base[:size - cut]))
+            rows.append((100 * g + 2 * k + 1, base[cut // 2:] + [f"x{g}-{k}-{i}" for i in range(cut // 2)]))
+    docs = spark.createDataFrame([(i, " ".join(t), "s", None) for i, t in rows], SCHEMA)
+    sets = {i: {tuple(t[j:j + 5]) for j in range(len(t) - 4)} for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    root = {i: i for i in sets}
+    for _ in rows:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {x.doc_id: x.component_id for x in jaccard_join.join_documents(docs).collect()}
+    assert got == root and len(set(root.values())) > 4
+    hashes = {i: np.unique(jaccard_join.shingle_rows(*flat(" ".join(t)))[0]) for i, t in rows}
+    for a in hashes:
+        for b in hashes:
+            x, y = jaccard_join.wide_parities(hashes[a]), jaccard_join.wide_parities(hashes[b])
+            if x and y:
+                apart = len(np.setxor1d(hashes[a], hashes[b]))
+                assert jaccard_join.wide_differ(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= apart
+
+
+def flat(text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return raw, np.array([0, len(raw)])
