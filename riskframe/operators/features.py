@@ -155,6 +155,26 @@ def aggregate_installments(inst: DataFrame, key: str = ID) -> DataFrame:
                  / F.greatest(F.col("INST_COUNT"), F.lit(1)).cast("double"))
 
 
+# The columns that the history aggregates read.
+HISTORY_SCHEMAS = {
+    "bureau": "SK_ID_CURR long, SK_ID_BUREAU long, CREDIT_ACTIVE string, CREDIT_TYPE string, DAYS_CREDIT long, "
+              "AMT_CREDIT_SUM double, AMT_CREDIT_SUM_OVERDUE double",
+    "bureau_balance": "SK_ID_BUREAU long, MONTHS_BALANCE long, STATUS string",
+    "previous_application": "SK_ID_CURR long, SK_ID_PREV long, NAME_CONTRACT_STATUS string, NAME_CONTRACT_TYPE string, "
+                            "AMT_CREDIT double, AMT_ANNUITY double",
+    "installments_payments": "SK_ID_CURR long, SK_ID_PREV long, NUM_INSTALMENT_NUMBER long, DAYS_INSTALMENT double, "
+                             "DAYS_ENTRY_PAYMENT double, AMT_INSTALMENT double, AMT_PAYMENT double",
+}
+
+
+def with_empty_history(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``tables`` with an empty table for each absent history, so that the matrix has the same
+    columns whatever tables there are: counts 0, all else null.  Where only the monthly table
+    is absent, its sums are 0 for entities with credits."""
+    spark = tables["application_train"].sparkSession
+    return {name: spark.createDataFrame([], ddl) for name, ddl in HISTORY_SCHEMAS.items()} | tables
+
+
 # ----------------------------------------------------------------------------- assembly
 def fill_count_columns(df: DataFrame) -> DataFrame:
     """Missing -> 0 on columns whose name ends with ``_COUNT`` (case-sensitive)."""
@@ -162,12 +182,17 @@ def fill_count_columns(df: DataFrame) -> DataFrame:
     return df.fillna(0, subset=cols) if cols else df
 
 
-def build_feature_matrix(tables: dict[str, DataFrame], key: str = ID) -> DataFrame:
+def build_feature_matrix(tables: dict[str, DataFrame], key: str = ID, static_columns: bool = False) -> DataFrame:
     """Main features left-joined with the three history aggregates; one lazy plan.
 
+    The features of an absent history are absent, or, with ``static_columns``, there without
+    values (``with_empty_history``).
+
     Each aggregate is already hash-partitioned on the key by its own ``groupBy``, so the
     three sort-merge joins reuse that partitioning and only the main table is shuffled.
     """
+    if static_columns:
+        tables = with_empty_history(tables)
     app = add_application_features(tables["application_train"])
     if "bureau" in tables:
         app = app.join(aggregate_bureau(tables["bureau"], tables.get("bureau_balance"), key), key, "left")

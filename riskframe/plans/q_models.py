@@ -109,12 +109,13 @@ def _clamp_sql(c, expr):
     return f"least(greatest(coalesce({expr}, {c}::DOUBLE, {lo}::DOUBLE), {lo}::DOUBLE), {hi}::DOUBLE)"
 
 
+_GIVEN = {"AMT_CREDIT": "o.o_credit", "age_years": "o.o_age"}
+_CLAMPED = {c: _clamp_sql(c, _GIVEN.get(c, "NULL")) for c in _BOUNDS}
 _WHAT_IF_SQL = matrix_sql(
     "SELECT * EXCLUDE (o_id, o_credit, o_age) REPLACE ("
-    + f"{_clamp_sql('AMT_CREDIT', 'o.o_credit')} AS AMT_CREDIT, "
-    + f"{_clamp_sql('age_years', 'o.o_age')} AS age_years, "
-    + f"{_clamp_sql('AMT_CREDIT', 'o.o_credit')} / greatest(AMT_INCOME_TOTAL, 1.0::DOUBLE) AS credit_income_ratio, "
-    + "AMT_ANNUITY / greatest(AMT_INCOME_TOTAL, 1.0::DOUBLE) AS annuity_income_ratio) "
+    + "".join(f"{sql} AS {c}, " for c, sql in _CLAMPED.items())
+    + f"{_CLAMPED['AMT_CREDIT']} / greatest({_CLAMPED['AMT_INCOME_TOTAL']}, 1.0::DOUBLE) AS credit_income_ratio, "
+    + f"{_CLAMPED['AMT_ANNUITY']} / greatest({_CLAMPED['AMT_INCOME_TOTAL']}, 1.0::DOUBLE) AS annuity_income_ratio) "
     + "FROM feature_matrix f JOIN (SELECT SK_ID_CURR AS o_id, AMT_CREDIT * 2.0 AS o_credit, "
     + "age_years + 5.0 AS o_age FROM feature_matrix WHERE NAME_INCOME_TYPE = 'BUILDING') o ON f.SK_ID_CURR = o.o_id",
     [c for c, t in MATRIX_SCHEMA if t == "double"])

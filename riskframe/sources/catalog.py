@@ -71,20 +71,39 @@ def read_csv_with_missing_tokens(spark: SparkSession, path: str,
     """Read a headed CSV as strings, turn the missing tokens into null, then type it.
 
     Spark's ``nullValue`` takes one token; the reference's reader knows a set of them.
-    With a ``schema`` each column is converted with ``try_cast`` (bad values -> null);
-    without one, columns stay strings.
+    Columns of ``schema`` are converted with ``try_cast`` (bad values -> null); the types of
+    all others are inferred from all rows (``inferred_types``).
     """
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     tokens = F.array(*[F.lit(t) for t in MISSING_TOKENS])
-    cols = []
-    for name in raw.columns:
+    raw = raw.select(*[F.when(~F.array_contains(tokens, F.trim(F.col(f"`{c}`"))), F.col(f"`{c}`")).alias(c)
+                       for c in raw.columns])
+    known = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    types = inferred_types(raw, [c for c in raw.columns if c not in known]) | known
+    return nan_to_null(raw.select(*[F.trim(F.col(f"`{c}`")).try_cast(types[c]).alias(c) if types[c] != T.StringType()
+                                    else F.col(f"`{c}`") for c in raw.columns]))
+
+
+def inferred_types(raw: DataFrame, columns: list[str]) -> dict[str, T.DataType]:
+    """The type of each string column by all of its values, in one aggregate: whole numbers
+    (double where some are missing, as is a column without any value), numbers, booleans,
+    else strings."""
+    if not columns:
+        return {}
+    whole, number = r"^\s*[+-]?[0-9]{1,18}\s*$", r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+    aggs = []
+    for i, name in enumerate(columns):
         c = F.col(f"`{name}`")
-        clean = F.when(~F.array_contains(tokens, F.trim(c)), c)
-        if schema is not None and name in schema.fieldNames():
-            clean = F.try_cast(clean, schema[name].dataType) if hasattr(F, "try_cast") \
-                else clean.try_cast(schema[name].dataType)
-        cols.append(clean.alias(name))
-    return nan_to_null(raw.select(*cols))
+        aggs += [F.count(c).alias(f"n{i}"), F.bool_and(c.rlike(whole)).alias(f"w{i}"), F.bool_and(c.rlike(number)).alias(f"d{i}"),
+                 F.bool_and(F.lower(F.trim(c)).isin("true", "false")).alias(f"b{i}")]
+    row = raw.agg(F.count(F.lit(1)).alias("rows"), *aggs).first()
+    out: dict[str, T.DataType] = {}
+    for i, name in enumerate(columns):
+        if row[f"n{i}"] == 0 or row[f"d{i}"]:
+            out[name] = T.LongType() if row[f"w{i}"] and row[f"n{i}"] == row["rows"] else T.DoubleType()
+        else:
+            out[name] = T.BooleanType() if row[f"b{i}"] and row[f"n{i}"] == row["rows"] else T.StringType()
+    return out
 
 
 def load_table(spark: SparkSession, name: str, root: str, fmt: str = "parquet",
