@@ -9,12 +9,16 @@ a passage is cut alike wherever it stands, but for its first 11 and last 12 word
 piece has 12 words at most.  A span is a run of pieces that just reaches ``min_words`` words,
 counted on from the start of a piece or back from the end of one.  So a repeat of 46 words
 holds a whole span, and a repeat of whole sentences that has ``min_words`` is covered whole.
-Every span is hashed by its words (128 bits); one grouped count finds those that occur
-twice or more and the first place of each (least id, then position), and the pieces of every
-other occurrence are removed.
+Every span is hashed by its words (128 bits).  A first count exchanges 64 bits of each span
+alone.  Those seen twice or more mark a bitmap, and only spans that it holds are exchanged
+with their places: a second count by all 128 bits finds the first place of each span that
+occurs twice (least id, then position), and the pieces of every other occurrence are removed.
 
-Counts are combined before the shuffle, so a span that a third of all documents share is one
-row per task; the join back to the occurrences is by hash and may be split by Spark.
+The bitmap has ``BITS_EACH`` bits a repeated hash and ``MAX_BITS`` at most (16 MB, built by
+Spark in pages of 4 KB), which bounds what is broadcast.  A full one lets more spans through
+to the second count and changes no result.  Counts are combined before the shuffle, so a span
+that a third of all documents share is one row per task; the join back to the occurrences is
+by hash and may be split by Spark.
 
 Cases: null or wordless text has no sentences and stays as it is, as do texts of fewer than
 ``min_words``; of an overlap with a first occurrence in the same text only what lies behind
@@ -32,12 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, mix, slices, span_hashes, staged, utf8_column, window_hashes, without, word_bounds
+from .common import LOWER, discard, mix, slices, span_hashes, staged, utf8_column, window_hashes, without, word_bounds
 
 MIN_WORDS = 12
 #: Word runs of so many words are compared, so many beside each other, for cuts in long sentences.
 CUT_WORDS = 3
 CUT_WINDOW = 10
+#: Bits of the bitmap for a repeated hash, and in all.
+BITS_EACH = 4
+MAX_BITS = 1 << 27
 RESULTS = ("n_sentences", "n_removed", "clean_text")
 
 
@@ -102,19 +109,47 @@ def _spans(row: np.ndarray, size: np.ndarray, words: np.ndarray, min_words: int)
     return a, b, *[span_hashes(x, at[a], at[b]).view(np.int64) for x in (words, other)]
 
 
+def _repeats(hashes: DataFrame) -> np.ndarray:
+    """Bitmap of a power of two of bits, with the low bits of each ``h1`` seen twice or more."""
+    again = staged(hashes.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1"), "span-repeats")
+    bits = 1 << 15
+    while bits < min(BITS_EACH * again.count(), MAX_BITS):
+        bits *= 2
+    bit = F.col("h1").bitwiseAND(F.lit(bits - 1)) + 1
+    pages = again.groupBy(F.bitmap_bucket_number(bit).alias("page")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    out = np.zeros((bits >> 15, 4096), np.uint8)
+    for r in pages.toLocalIterator():                         # at most MAX_BITS / 2**15 rows of 4 KB
+        out[r.page - 1] = np.frombuffer(r.bits, np.uint8)
+    discard(again)
+    return out.ravel()
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with n_sentences, n_removed and clean_text (the text without removed sentences)."""
     base = without(docs, *RESULTS, "_hash", "_gone")
     base = base.withColumn("_hash", F.xxhash64(F.col(text_col)))
 
+    def found(b: pa.RecordBatch):
+        """First and last row, row of each piece, and the spans, of each slice of a batch."""
+        raw, off = utf8_column(b, "t")
+        for lo, hi in slices(off):
+            row, _, _, size, words = sentences(raw[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+            yield lo, hi, row, _spans(row, size, words, min_words)
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for *_, (_, _, one, _) in found(b):
+                yield pa.RecordBatch.from_arrays([pa.array(one)], names=["h1"])
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = shared.value
+        low = np.int64(8 * len(marks) - 1)
         for b in batches:
-            raw, off = utf8_column(b, "t")
-            for lo, hi in slices(off):
-                o = off[lo:hi + 1] - off[lo]
-                row, _, _, size, words = sentences(raw[off[lo]:off[hi]], o)
-                at, to, one, two = _spans(row, size, words, min_words)
+            for lo, hi, row, spans in found(b):
+                bit = spans[2] & low
+                at, to, one, two = [x[marks[bit >> 3] >> (bit & 7) & 1 == 1] for x in spans]
                 first = np.searchsorted(row, np.arange(hi - lo))
                 k = pa.array(row[at] + lo)
                 yield pa.RecordBatch.from_arrays(
@@ -123,6 +158,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     narrow = base.select(F.col(id_col).alias("id"), F.col("_hash").alias("hash"), F.col(text_col).alias("t"))
     kind = narrow.schema["id"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(_repeats(narrow.select("t").mapInArrow(hashes, "h1 long")))
     rows = narrow.mapInArrow(emit, f"id {kind}, hash long, at int, to int, h1 long, h2 long")
     seen = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "hash", "at", "to")).alias("first"))
     again = staged(seen.where("n > 1").drop("n"), "span-again")

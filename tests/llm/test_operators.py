@@ -167,6 +167,19 @@ def test_sentence_spans(spark):
     assert got[3].n_removed == 0 and got[4].clean_text is None and got[5].clean_text == ""
 
 
+def test_sentence_spans_with_a_full_bitmap(spark, monkeypatch):
+    """The bitmap of repeated hashes spares exchanges only; an empty table marks nothing."""
+    r = random.Random(3)
+    shared = [" ".join(f"s{r.randrange(900)}" for _ in range(20)) + "." for _ in range(30)]
+    docs = spark.createDataFrame([(i, " ".join(f"w{r.randrange(10**6)}" for _ in range(40)) + ". " + r.choice(shared)) for i in range(300)], "doc_id long, text string")
+    want = sorted((x.doc_id, x.n_removed, x.clean_text) for x in sentence_spans.dedup(docs).collect())
+    assert any(n for _, n, _ in want)
+    empty = sentence_spans.dedup(docs.limit(0))
+    assert empty.count() == 0 and empty.columns == ["doc_id", "text", "n_sentences", "n_removed", "clean_text"]
+    monkeypatch.setattr(sentence_spans, "_repeats", lambda hashes: np.full(4096, 255, np.uint8))
+    assert want == sorted((x.doc_id, x.n_removed, x.clean_text) for x in sentence_spans.dedup(docs).collect())
+
+
 @pytest.mark.parametrize("kind", ["one-word sentences", "no stops", "low vocabulary", "long sentences", "odd sentences"])
 def test_sentence_spans_in_any_text(spark, kind):
     """A repeat of 51 words at any offset holds a span, a whole repeat goes, and what goes stands elsewhere."""
