@@ -1,10 +1,11 @@
 """Preparation for models: splits, folds, class weights, and the column preprocessor.
 
-Split, subsample and fold assignment are exact per class and deterministic: rows are
-ordered by a seeded hash of the key within each class (bucketed prefix sum, no
-single-partition window), and the per-class counts follow the reference's rounding rule
-on the small class-count table.  Row membership is a different draw than the reference's
-random generator; the counts agree.
+Split, subsample and fold assignment are exact per class and deterministic: a class's rows
+are taken in the order of a seeded hash of the key, up to a hash that ``functions.hash_cut``
+finds by counting (wide rows are compared with it where they are, no sort and no exchange),
+and the per-class counts follow the reference's rounding rule on the small class-count
+table.  Row membership is a different draw than the reference's random generator; the counts
+agree.  A key is expected once: rows of one key lie on one side.
 
 The preprocessor is an Estimator whose fitted form is a ``PipelineModel`` of built-in
 stages only (a generated ``SQLTransformer`` with the learned medians/means/scales/modes,
@@ -14,6 +15,7 @@ Spark model and runs fully on the JVM.
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -21,8 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.hash_cut import hash_cuts, hash_order
 from ..functions.nulls import flag
-from ..functions.ordered import exact_quantiles, hash_rank
+from ..functions.ordered import exact_quantiles
 
 ID, TARGET = "SK_ID_CURR", "TARGET"
 NON_FEATURE_COLUMNS = [ID, TARGET]
@@ -84,7 +87,7 @@ def split_allocation(counts: list[int], test_size: float | int) -> list[int]:
 
 
 def _by_class(label: str, values: dict) -> Column:
-    expr = None
+    expr = None if values else F.lit(None)
     for k, v in values.items():
         cond = _q(label).eqNullSafe(F.lit(k))
         expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
@@ -94,12 +97,11 @@ def _by_class(label: str, values: dict) -> Column:
 def stratified_split(df: DataFrame, label: str = TARGET, key: str = ID,
                      test_size: float | int = TEST_SIZE, seed: int = RANDOM_STATE) -> DataFrame:
     """Add boolean ``is_test``: exact per-class test counts, hash-ordered within class."""
-    cc = class_counts(df, label)
-    alloc = split_allocation([n for _, n in cc], test_size)
-    n_test = {k: t for (k, _), t in zip(cc, alloc)}
-    ranked = hash_rank(df, [key], seed, by=[label])
-    return ranked.withColumn("is_test", F.col("_rank") <= _by_class(label, n_test)) \
-        .drop("_rank", "_size", "_h")
+    def ranks(cc):
+        return {c: [t] for (c, _), t in zip(cc, split_allocation([n for _, n in cc], test_size))}
+    cuts = hash_cuts(df, key, seed, label, ranks)
+    bound = _by_class(label, {c: b for c, (b,) in cuts.items()})
+    return df.withColumn("is_test", hash_order(key, seed) < bound)
 
 
 def train_test_split(df: DataFrame, label: str = TARGET, key: str = ID,
@@ -137,19 +139,14 @@ def fold_allocation(counts: list[int], k: int) -> list[list[int]]:
 def stratified_folds(df: DataFrame, k: int = 5, label: str = TARGET, key: str = ID,
                      seed: int = RANDOM_STATE, fold_col: str = "fold") -> DataFrame:
     """Integer fold column 0..k-1 with the stratified per-class fold sizes."""
-    cc = class_counts(df, label)
-    alloc = fold_allocation([n for _, n in cc], k)
-    ranked = hash_rank(df, [key], seed + 1, by=[label])
-    expr = None
-    for ci, (cls, _) in enumerate(cc):
-        cum, fold_expr = 0, None
-        for f in range(k):
-            cum += alloc[f][ci]
-            cond = F.col("_rank") <= F.lit(cum)
-            fold_expr = F.when(cond, F.lit(f)) if fold_expr is None else fold_expr.when(cond, F.lit(f))
-        c = _q(label).eqNullSafe(F.lit(cls))
-        expr = F.when(c, fold_expr) if expr is None else expr.when(c, fold_expr)
-    return ranked.withColumn(fold_col, expr.cast("int")).drop("_rank", "_size", "_h")
+    def ranks(cc):
+        sizes = zip(*fold_allocation([n for _, n in cc], k))
+        return {c: list(accumulate(per_fold))[:-1] for (c, _), per_fold in zip(cc, sizes)}
+    cuts = hash_cuts(df, key, seed + 1, label, ranks)
+    h, fold = hash_order(key, seed + 1), F.lit(0)
+    for i in range(k - 1):                                    # folds behind the row's hash
+        fold = fold + flag(h >= _by_class(label, {c: b[i] for c, b in cuts.items()}))
+    return df.withColumn(fold_col, fold.cast("int"))
 
 
 def with_class_weights(df: DataFrame, label: str = TARGET, weight_col: str = "weight") -> DataFrame:

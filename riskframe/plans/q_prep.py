@@ -9,9 +9,14 @@ from .q_features import MATRIX_NUMERIC, credit, feature_matrix_df, matrix_sql
 from .registry import register
 
 _CC = "SELECT TARGET AS label, count(*) AS c FROM application_train GROUP BY 1"
-_SPLIT_CTES = [
-    ("cc_", _CC),
-    ("tot_", "SELECT sum(c) AS n, CAST(ceil(0.2 * sum(c)) AS BIGINT) AS n_test FROM cc_"),
+
+
+def _split_ctes(n_test: str) -> list[tuple[str, str]]:
+    """CTEs up to alloc_ (label, c, t): rows of a class and those on the test side."""
+    return [("cc_", _CC), ("tot_", f"SELECT sum(c) AS n, CAST({n_test} AS BIGINT) AS n_test FROM cc_"), *_ALLOCATION]
+
+
+_ALLOCATION = [
     ("tr_", "SELECT label, c, n, n_test, (n - n_test) * c / n AS cont, floor((n - n_test) * c / n) AS fl FROM cc_, tot_"),
     ("tr2_", "SELECT *, row_number() OVER (ORDER BY cont - fl DESC, label) AS rk, "
              "(n - n_test) - sum(fl) OVER () AS need FROM tr_"),
@@ -21,6 +26,13 @@ _SPLIT_CTES = [
              "n_test - sum(fl) OVER () AS need FROM te_"),
     ("alloc_", "SELECT label, c, CAST(fl + CASE WHEN rk <= need THEN 1 ELSE 0 END AS BIGINT) AS t FROM te2_"),
 ]
+_SPLIT_CTES = _split_ctes("ceil(0.2 * sum(c))")
+
+
+def _order_cte(seed: int) -> tuple[str, str]:
+    """Rows with their rank in the seeded hash order of their class."""
+    return ("ord_", "SELECT SK_ID_CURR, TARGET AS label, row_number() OVER (PARTITION BY TARGET ORDER BY "
+                    f"md5(SK_ID_CURR::VARCHAR || ':{seed}'), SK_ID_CURR) AS rk FROM application_train")
 
 
 @register("split_counts", matrix_sql(
@@ -33,6 +45,28 @@ def q_split_counts(spark, sf_dir):
     return s.groupBy(F.col("TARGET").alias("label"), "is_test").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("split_membership", matrix_sql(
+    "SELECT SK_ID_CURR, o.label, rk <= t AS is_test FROM ord_ o JOIN alloc_ a ON o.label IS NOT DISTINCT FROM a.label",
+    [], extra=[*_SPLIT_CTES, _order_cte(42)]))
+def q_split_membership(spark, sf_dir):
+    """The side of the stratified 80/20 split that each entity is on."""
+    app = credit(spark, sf_dir)["application_train"]
+    return prep.stratified_split(app, "TARGET", "SK_ID_CURR", 0.2, 42) \
+        .select("SK_ID_CURR", F.col("TARGET").alias("label"), "is_test")
+
+
+SUBSAMPLE_ROWS = 100
+
+
+@register("subsample_membership", matrix_sql(
+    "SELECT SK_ID_CURR, o.label FROM ord_ o JOIN alloc_ a ON o.label IS NOT DISTINCT FROM a.label WHERE rk <= t",
+    [], extra=[*_split_ctes(str(SUBSAMPLE_ROWS)), _order_cte(42)]))
+def q_subsample_membership(spark, sf_dir):
+    """Entities of a stratified subsample of exactly ``SUBSAMPLE_ROWS`` rows (the operator's own limit)."""
+    app = credit(spark, sf_dir)["application_train"]
+    return prep.stratified_subsample(app, SUBSAMPLE_ROWS).select("SK_ID_CURR", F.col("TARGET").alias("label"))
+
+
 _FOLD_CTES = [
     ("cc_", _CC),
     ("bounds_", "SELECT label, sum(c) OVER (ORDER BY label) - c AS lo, sum(c) OVER (ORDER BY label) AS hi FROM cc_"),
@@ -51,6 +85,17 @@ def q_fold_counts(spark, sf_dir):
     return f.groupBy("fold", F.col("TARGET").alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("fold_membership", matrix_sql(
+    "SELECT SK_ID_CURR, label, CAST(sum(CASE WHEN rk > upto THEN 1 ELSE 0 END) AS INTEGER) AS fold FROM ord_ JOIN ("
+    "SELECT fold, label, sum(CASE WHEN first < hi THEN (hi - 1 - first) // 5 + 1 ELSE 0 END) OVER (PARTITION BY label ORDER BY fold) AS upto "
+    "FROM first_) USING (label) GROUP BY ALL", [], extra=[*_FOLD_CTES, _order_cte(43)]))
+def q_fold_membership(spark, sf_dir):
+    """The fold of each entity in the stratified 5-fold assignment."""
+    app = credit(spark, sf_dir)["application_train"]
+    return prep.stratified_folds(app, 5, "TARGET", "SK_ID_CURR", 42) \
+        .select("SK_ID_CURR", F.col("TARGET").alias("label"), "fold")
+
+
 @register("numeric_medians", matrix_sql(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, quantile_cont({c}::DOUBLE, 0.5) AS median FROM feature_matrix"
     for c in MATRIX_NUMERIC), ["median"]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clean, profile
-from .q_features import APP_CLEAN_SCHEMA, MATRIX_NUMERIC, credit, feature_matrix_df, matrix_sql
+from .q_features import APP_CLEAN_SCHEMA, MATRIX_DOUBLES, MATRIX_NUMERIC, credit, feature_matrix_df, matrix_sql
 from .registry import register
 
 EDA_COLUMNS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "age_years", "credit_income_ratio",
@@ -167,7 +167,8 @@ def q_top_k(spark, sf_dir):
     return profile.top_k(m, "INST_PAYMENT_DIFF_SUM", 10, tie_break=["SK_ID_CURR"])
 
 
-@register("seeded_entity_sample")
+@register("seeded_entity_sample", matrix_sql(
+    "SELECT * FROM feature_matrix ORDER BY md5(SK_ID_CURR::VARCHAR || ':42'), SK_ID_CURR LIMIT 8", MATRIX_DOUBLES))
 def q_seeded_sample(spark, sf_dir):
     """Eight entities chosen by a seeded hash (deterministic, exact size)."""
     return profile.seeded_sample(feature_matrix_df(spark, sf_dir), 8, "SK_ID_CURR", seed=42)
