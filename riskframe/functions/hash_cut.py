@@ -14,6 +14,7 @@ its copies; null keys count as the empty key, a null class is a class of its own
 """
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Callable
 
@@ -41,7 +42,9 @@ def hash_cuts(df: DataFrame, key: str, seed: int, by: str,
     less takes no row, one beyond the class's rows takes all.
     """
     base = df.select(F.col(f"`{by}`").alias("c"), hash_order(key, seed).alias("h"))
-    held = reuse(base)                                        # two narrow columns, read once a pass
+    # two narrow columns, read once a pass; the text makes the persisted frame this call's own,
+    # as fits run in threads and may cut the same rows at once
+    held = reuse(base.where(F.lit(uuid.uuid4().hex).isNotNull()))
     wanted, open_, found, depth = None, {}, {}, 0
     while wanted is None or open_:
         before, depth = depth, min(depth + DIGITS, HEX_DIGITS)

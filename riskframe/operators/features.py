@@ -13,12 +13,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.nulls import flag, sum_or_zero
 
 ID = "SK_ID_CURR"
+# Guard of divisions, days of a year, names of the external scores.
 EPS = 1e-5
 DAYS_PER_YEAR = 365.25
 EXT_SOURCES = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
@@ -205,12 +206,23 @@ def build_feature_matrix(tables: dict[str, DataFrame], key: str = ID, static_col
 
 def assert_no_row_explosion(before: DataFrame, after: DataFrame, key: str = ID) -> None:
     """Check job: rows after the joins must equal the distinct keys before them."""
-    n_keys = before.select(key).distinct().count()
-    n_rows = after.count()
+    check_row_count(before.select(key).distinct().count(), after.count())
+
+
+def check_row_count(n_keys: int, n_rows: int) -> None:
+    """Raise unless there is one row per key."""
     if n_rows != n_keys:
         raise AssertionError(f"row explosion: {n_rows} rows instead of {n_keys}")
 
 
+def watch_rows(df: DataFrame, name: str = "matrix") -> tuple[DataFrame, Observation]:
+    """``df`` that counts its rows while the first action on it runs, and where to read the
+    count: the guard of a matrix that is written needs no job of its own on the matrix.  The
+    count is exact where no exchange follows (tasks of the writing stage count once each)."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def select_prefixed(df: DataFrame, pattern: str = r"^(BUREAU_|PREV_|INST_)",
                     keep: list[str] | None = None) -> DataFrame:
     """Columns whose name matches a regular expression (plus ``keep`` columns first)."""

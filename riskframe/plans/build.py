@@ -19,11 +19,21 @@ def build_feature_matrix(tables: dict[str, DataFrame], check: bool = True) -> Da
     return matrix
 
 
+def save_feature_matrix(tables: dict[str, DataFrame], root: str) -> str:
+    """Write the matrix, computed once: its rows are counted while they are written, and a
+    count other than that of the main table's keys raises."""
+    clean.clean_application(tables["application_train"], check_unique=True)
+    n_keys = tables["application_train"].select(features.ID).distinct().count()
+    matrix, seen = features.watch_rows(build_feature_matrix(tables, check=False))
+    path = io.save_parquet(matrix, root, "feature_matrix", stage="processed")
+    features.check_row_count(n_keys, seen.get["rows"])
+    return path
+
+
 def build_all(spark: SparkSession, tables: dict[str, DataFrame], root: str, k: int | None = 4,
               tune: bool = True, n_init: int = 10, grid: dict | None = None) -> dict:
     """Run the whole build and write matrix, best model and segment bundle under ``root``."""
-    matrix = build_feature_matrix(tables)
-    io.save_parquet(matrix, root, "feature_matrix", stage="processed")
+    save_feature_matrix(tables, root)
     matrix = io.load_processed(spark, root, "feature_matrix")
     train, _ = prep.train_test_split(matrix)
     if tune:

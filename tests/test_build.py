@@ -1,7 +1,8 @@
 """End-to-end build on the smallest driver tables: artifacts written and reloadable."""
+import pytest
 from pyspark.ml import PipelineModel
 
-from riskframe.operators import score
+from riskframe.operators import features, score
 from riskframe.operators.segments import ClusterBundle
 from riskframe.plans import build
 from riskframe.sources import fixtures, io
@@ -23,3 +24,16 @@ def test_build_all_writes_reloadable_artifacts(spark, tmp_root):
     assert len(report) == matrix.count()
     assert {r.risk_class for r in report} <= {"low", "medium", "high"}
     assert all(0 <= r.cluster < 3 for r in report)
+
+
+def test_matrix_is_written_once_and_planted_duplicate_raises(spark, tmp_root, monkeypatch):
+    tables = fixtures.credit_tables(fixtures.TableSet(spark, SF_SMALL))
+    build.save_feature_matrix(tables, tmp_root)
+    matrix = io.load_processed(spark, tmp_root, "feature_matrix")
+    assert matrix.count() == tables["application_train"].count()
+    with pytest.raises(AssertionError, match="row explosion"):
+        features.assert_no_row_explosion(matrix, matrix.union(matrix.limit(1)))
+    whole = build.build_feature_matrix
+    monkeypatch.setattr(build, "build_feature_matrix", lambda t, check: whole(t, check).union(whole(t, check).limit(1)))
+    with pytest.raises(AssertionError, match="row explosion"):
+        build.save_feature_matrix(tables, tmp_root)

@@ -158,3 +158,29 @@ def test_plan_checks(spark):
     a = spark.range(10)
     assert any("pair join" in p for p in checks.plan_problems(a.crossJoin(spark.range(3))))
     assert checks.plan_problems(a.groupBy((F.col("id") % 2).alias("g")).count()) == []
+
+
+def test_permutation_importance_against_brute_force(spark):
+    """The same numbers as permuting collected rows by hand, for numbers, texts and missing values."""
+    df = signal_frame(spark, 120)
+    spec = next(x for x in models.model_specs(100) if x.name == "logreg")
+    model = models.fit_all_models(df, [spec])["logreg"]
+    feats, repeats, seed = ["x1", "cat", "x2"], 3, 4
+    got = {r.feature: r for r in explain.permutation_importance(model, df, feats, repeats, seed, chunk=2).collect()}
+    rows = [r.asDict() for r in explain.hash_rank(df, ["SK_ID_CURR"], seed).orderBy("_rank").select(*df.columns).collect()]
+    n = len(rows)
+    params = explain._affine_params(n, len(feats) * repeats, seed)
+    frames = []
+    for j, f in enumerate(feats):
+        for r in range(repeats):
+            a, b = params[j * repeats + r]
+            frames += [tuple({**row, f: rows[(a * i + b) % n][f]}[c] for c in df.columns) + (j, r) for i, row in enumerate(rows)]
+    variants = spark.createDataFrame(frames, "SK_ID_CURR long, TARGET int, x1 double, x2 double, cat string, j int, r int")
+    base = explain._ap(model.transform(df)).first()["pr_auc"]
+    drops = {}
+    for x in explain._ap(model.transform(variants), ["j", "r"]).collect():
+        drops.setdefault(feats[x.j], []).append(base - x.pr_auc)
+    assert set(got) == set(feats)
+    for f, d in drops.items():
+        assert got[f].importance_mean == pytest.approx(np.mean(d), abs=1e-12)
+        assert got[f].importance_std == pytest.approx(np.std(d), abs=1e-12)
