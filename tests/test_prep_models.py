@@ -154,6 +154,15 @@ def test_kmeans_starts_in_one_run(spark):
         segments.select_cluster_features(df, ["x1", "TARGET"])
 
 
+def test_kmeans_passes_follow_the_rows(spark, monkeypatch):
+    """A pass has as many tasks as the rows need, not as there are partitions."""
+    x = segments.fit_cluster_preprocessor(signal_frame(spark, 300), ["x1", "x2"]).transform(signal_frame(spark, 300)).repartition(40)
+    seen, blocks = [], segments.blocks
+    monkeypatch.setattr(segments, "blocks", lambda rows, read: seen.append(blocks(rows, read)) or seen[-1])
+    segments.find_optimal_k(x, "SK_ID_CURR", [2], n_init=2)
+    assert [of.getNumPartitions() for of in seen] == [1, 1]
+
+
 def test_plan_checks(spark):
     a = spark.range(10)
     assert any("pair join" in p for p in checks.plan_problems(a.crossJoin(spark.range(3))))
