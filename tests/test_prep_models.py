@@ -96,6 +96,30 @@ def test_silhouette_matches_brute_force(spark):
     assert got == pytest.approx(float(np.mean(s)), abs=1e-12)
 
 
+def test_pairwise_silhouette_matches_brute_force(spark, monkeypatch):
+    """Several groups and cells, near copies, a repeated key, a cluster of one row, rows without label or features."""
+    monkeypatch.setattr(segments, "GROUP_ROWS", 20)
+    rng = np.random.default_rng(6)
+    pts = np.vstack([rng.normal(100, 1, (40, 3)), rng.normal(103, 1, (30, 3)), [[100, 105, 100]]])
+    pts[1] = pts[0]
+    lab, ids = np.array([5] * 40 + [2] * 30 + [9]), list(range(71))
+    rows = [(i, int(c), p.tolist()) for i, c, p in zip(ids, lab, pts)]
+    s = []
+    d = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(-1))
+    for i in ids:
+        own = lab == lab[i]
+        a, b = d[i, own].sum() / max(own.sum() - 1, 1), min(d[i, lab == c].mean() for c in {2, 5, 9} - {lab[i]})
+        s.append((b - a) / max(a, b) if own.sum() > 1 else 0.0)
+    df = spark.createDataFrame([*rows, (900, None, [0.0, 0.0, 0.0]), (901, 2, None)], "k long, label int, x array<double>")
+    got = segments.silhouette_euclidean(df, "x", "label", "k").first()[0]
+    assert got == pytest.approx(float(sum(s)) / 72, abs=1e-12)          # a row without a label scores 0
+    two = spark.createDataFrame([*rows, rows[0]], df.schema)            # a key's rows are not compared
+    alone = spark.createDataFrame(rows[:1] * 2 + rows[40:41], df.schema)
+    assert segments.silhouette_euclidean(alone, "x", "label", "k").first()[0] == 0.0
+    assert segments.silhouette_euclidean(two, "x", "label", "k").first()[0] != pytest.approx(got, abs=1e-12)
+    assert segments.silhouette_euclidean(df.where("label = 5"), "x", "label", "k").first()[0] is None
+
+
 def test_silhouette_of_all_rows_matches_brute_force(spark):
     """More rows than any sample, a cluster of one row, rows without label or features."""
     rng = np.random.default_rng(5)
