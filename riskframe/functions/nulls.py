@@ -38,6 +38,12 @@ def sum_or_zero(c: Column | str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
 
 
+def mean_of_sum(c: Column | str) -> Column:
+    """Mean of doubles that shares its sum with a ``sum`` of the same column: a partial row
+    carries that sum once."""
+    return F.try_divide(F.sum(c), F.count(c))
+
+
 def safe_div(a: Column, b: Column) -> Column:
     """a / b, null when b is 0 or missing."""
     return F.try_divide(a, b)

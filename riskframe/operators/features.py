@@ -2,10 +2,10 @@
 
 Every history table is aggregated to one row per entity *before* it is joined, so the
 left joins onto the main table can never multiply rows.  All aggregates of one table are
-computed in a single ``groupBy().agg()``; the nested monthly table is condensed per credit
+computed in a single ``groupBy().agg()``, but for those below; the nested monthly table is condensed per credit
 first and joined onto the credits (two levels, two shuffles).  All aggregates are
 algebraic or distinct counts, so Spark combines them map-side and a hot entity costs one
-row per map task.
+row per map task; distinct counts are aggregated beside the others.
 
 Output names are explicit; a missing optional source column drops only its own feature.
 """
@@ -16,7 +16,7 @@ import re
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.nulls import flag, sum_or_zero
+from ..functions.nulls import flag, mean_of_sum, sum_or_zero
 
 ID = "SK_ID_CURR"
 # Guard of divisions, days of a year, names of the external scores.
@@ -90,12 +90,22 @@ def aggregate_bureau_balance(bb: DataFrame, key: str = "SK_ID_BUREAU") -> DataFr
         F.sum(flag(_q("STATUS").isin(OVERDUE_STATUSES))).cast("bigint").alias("BB_OVERDUE_MONTHS"))
 
 
+def _with_distinct(out: DataFrame, df: DataFrame, key: str, of: str, name: str) -> DataFrame:
+    """``out``, one row per key, with the number of distinct values of ``of`` in ``df``.  The
+    distinct pairs are exchanged by themselves: in one aggregation, all other sums would be
+    exchanged per pair first, then per key."""
+    found = df.select(key, of).where(_q(of).isNotNull()).groupBy(key).agg(F.count_distinct(of).alias(name))
+    return out.join(found, key, "left").withColumn(name, F.coalesce(name, F.lit(0)).cast("bigint"))
+
+
 def aggregate_bureau(bureau: DataFrame, bureau_balance: DataFrame | None = None,
                      key: str = ID) -> DataFrame:
-    """External credit history -> one row per entity (10 features, plus 2 nested sums)."""
+    """External credit history -> one row per entity (10 features, plus 2 nested sums).
+
+    The monthly sums are brought to the entity with the two keys of a credit alone, so that
+    the credits' other columns take no part in the join by credit.
+    """
     df = bureau.where(_q(key).isNotNull())
-    if bureau_balance is not None:
-        df = df.join(aggregate_bureau_balance(bureau_balance), "SK_ID_BUREAU", "left")
     aggs: list[Column] = []
     if "SK_ID_BUREAU" in df.columns:
         aggs.append(F.count("SK_ID_BUREAU").alias("BUREAU_COUNT"))
@@ -107,18 +117,21 @@ def aggregate_bureau(bureau: DataFrame, bureau_balance: DataFrame | None = None,
     aggs.append(F.sum(overdue).cast("bigint").alias("BUREAU_OVERDUE_COUNT"))
     if "AMT_CREDIT_SUM" in df.columns:
         a = _q("AMT_CREDIT_SUM")
-        aggs += [F.avg(a).alias("BUREAU_MEAN_AMT_CREDIT_SUM"),
+        aggs += [mean_of_sum(a).alias("BUREAU_MEAN_AMT_CREDIT_SUM"),
                  sum_or_zero(a).cast("double").alias("BUREAU_SUM_AMT_CREDIT_SUM"),
                  F.max(a).alias("BUREAU_MAX_AMT_CREDIT_SUM")]
     if "DAYS_CREDIT" in df.columns:
         aggs += [F.avg("DAYS_CREDIT").alias("BUREAU_MEAN_DAYS_CREDIT"),
                  F.min("DAYS_CREDIT").alias("BUREAU_MIN_DAYS_CREDIT")]
+    out = df.groupBy(key).agg(*aggs)
     if "CREDIT_TYPE" in df.columns:
-        aggs.append(F.count_distinct("CREDIT_TYPE").alias("BUREAU_CREDIT_TYPE_NUNIQUE"))
-    if bureau_balance is not None:
-        aggs += [sum_or_zero("BB_OVERDUE_MONTHS").cast("bigint").alias("BUREAU_BB_OVERDUE_MONTHS_SUM"),
-                 sum_or_zero("BB_MONTHS_COUNT").cast("bigint").alias("BUREAU_BB_MONTHS_COUNT_SUM")]
-    return df.groupBy(key).agg(*aggs)
+        out = _with_distinct(out, df, key, "CREDIT_TYPE", "BUREAU_CREDIT_TYPE_NUNIQUE")
+    if bureau_balance is None:
+        return out
+    sums = {"BUREAU_BB_OVERDUE_MONTHS_SUM": "BB_OVERDUE_MONTHS", "BUREAU_BB_MONTHS_COUNT_SUM": "BB_MONTHS_COUNT"}
+    months = df.select(key, "SK_ID_BUREAU").join(aggregate_bureau_balance(bureau_balance), "SK_ID_BUREAU").groupBy(key).agg(
+        *[F.sum(c).alias(name) for name, c in sums.items()])
+    return out.join(months, key, "left").withColumns({name: F.coalesce(name, F.lit(0)).cast("bigint") for name in sums})
 
 
 def aggregate_previous(previous: DataFrame, key: str = ID) -> DataFrame:
@@ -132,9 +145,10 @@ def aggregate_previous(previous: DataFrame, key: str = ID) -> DataFrame:
         aggs.append(F.avg("AMT_CREDIT").alias("PREV_MEAN_AMT_CREDIT"))
     if "AMT_ANNUITY" in df.columns:
         aggs.append(F.avg("AMT_ANNUITY").alias("PREV_MEAN_AMT_ANNUITY"))
+    out = df.groupBy(key).agg(*aggs)
     if "NAME_CONTRACT_TYPE" in df.columns:
-        aggs.append(F.count_distinct("NAME_CONTRACT_TYPE").alias("PREV_CONTRACT_TYPE_NUNIQUE"))
-    return df.groupBy(key).agg(*aggs).withColumn(
+        out = _with_distinct(out, df, key, "NAME_CONTRACT_TYPE", "PREV_CONTRACT_TYPE_NUNIQUE")
+    return out.withColumn(
         "PREV_APPROVAL_RATE",
         F.col("PREV_APPROVED_COUNT") / F.greatest(F.col("PREV_COUNT"), F.lit(1)).cast("double"))
 
@@ -149,7 +163,7 @@ def aggregate_installments(inst: DataFrame, key: str = ID) -> DataFrame:
         F.avg(delay).alias("INST_PAYMENT_DELAY_MEAN"),
         F.max(delay).alias("INST_PAYMENT_DELAY_MAX"),
         F.sum(flag(delay > 0)).cast("bigint").alias("INST_LATE_PAYMENT_COUNT"),
-        F.avg(diff).alias("INST_PAYMENT_DIFF_MEAN"),
+        mean_of_sum(diff).alias("INST_PAYMENT_DIFF_MEAN"),
         sum_or_zero(diff).cast("double").alias("INST_PAYMENT_DIFF_SUM"),
     ).withColumn("INST_LATE_PAYMENT_RATIO",
                  F.col("INST_LATE_PAYMENT_COUNT")

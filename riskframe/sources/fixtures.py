@@ -124,17 +124,19 @@ def previous_application(t: TableSet) -> DataFrame:
 
 
 def installments_payments(t: TableSet) -> DataFrame:
+    # dates are joined as small numbers of days, which take a fraction of a time stamp's bytes
     li = t["lineitem"].select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount",
-                              "l_shipdate")
-    o = t["orders"].select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+                              _days_since_ref("l_shipdate").alias("shipped"))
+    o = t["orders"].select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey",
+                           _days_since_ref("o_orderdate").alias("ordered"))
     j = li.join(o, "l_orderkey")
     ln = F.col("l_linenumber")
     return j.select(
         F.col("l_orderkey").alias("SK_ID_PREV"),
         F.col("o_custkey").alias("SK_ID_CURR"),
         ln.alias("NUM_INSTALMENT_NUMBER"),
-        (_days_since_ref("o_orderdate") + 30).alias("DAYS_INSTALMENT"),
-        F.when(ln == 7, None).otherwise(_days_since_ref("l_shipdate")).cast("double")
+        (F.col("ordered") + 30).alias("DAYS_INSTALMENT"),
+        F.when(ln == 7, None).otherwise(F.col("shipped")).cast("double")
          .alias("DAYS_ENTRY_PAYMENT"),
         (F.col("l_extendedprice") * _dbl(MONEY_SCALE)).alias("AMT_INSTALMENT"),
         (F.col("l_extendedprice") * _dbl(MONEY_SCALE) * (_dbl(1) - F.col("l_discount"))).alias("AMT_PAYMENT"),

@@ -117,3 +117,21 @@ def test_rowwise_stats_with_one_column(spark):
     from riskframe.operators.features import rowwise_stats
     row = spark.sql("select 2.0D as x").select(*rowwise_stats([F.col("x")], "s")).first()
     assert (row.s_mean, row.s_std, row.s_min, row.s_max) == (2.0, None, 2.0, 2.0)
+
+
+def test_distinct_counts_are_exchanged_without_the_other_sums(spark):
+    """Pairs for a distinct count carry no sums, and the join by credit carries its keys alone."""
+    bureau = spark.createDataFrame(
+        [(1, 10, "Active", "car", -5, 4.0, 0.0), (1, 10, "Closed", "car", -9, None, 1.0), (1, 11, "Active", None, -1, 2.0, 0.0),
+         (2, None, "Sold", None, -3, None, 0.0), (None, 12, "Active", "home", -2, 9.0, 0.0)], features.HISTORY_SCHEMAS["bureau"])
+    months = spark.createDataFrame([(10, -1, "1"), (10, None, "0"), (12, -1, "5")], features.HISTORY_SCHEMAS["bureau_balance"])
+    out = features.aggregate_bureau(bureau, months)
+    got = {r.SK_ID_CURR: r for r in out.collect()}
+    assert sorted(got) == [1, 2]
+    assert (got[1].BUREAU_COUNT, got[1].BUREAU_CREDIT_TYPE_NUNIQUE, got[1].BUREAU_MEAN_AMT_CREDIT_SUM) == (3, 1, 3.0)
+    assert (got[1].BUREAU_BB_MONTHS_COUNT_SUM, got[1].BUREAU_BB_OVERDUE_MONTHS_SUM) == (2, 2)    # a repeated credit counts again
+    assert (got[2].BUREAU_CREDIT_TYPE_NUNIQUE, got[2].BUREAU_MEAN_AMT_CREDIT_SUM, got[2].BUREAU_SUM_AMT_CREDIT_SUM) == (0, None, 0.0)
+    assert (got[2].BUREAU_BB_MONTHS_COUNT_SUM, got[2].BUREAU_BB_OVERDUE_MONTHS_SUM) == (0, 0)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    pairs = [line for line in plan.splitlines() if "Aggregate(keys=[SK_ID_CURR" in line and ", CREDIT_TYPE#" in line.split("]")[0]]
+    assert pairs and all("functions=[]" in line for line in pairs)
