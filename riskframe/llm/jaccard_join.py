@@ -10,7 +10,8 @@ A document's set is its distinct ``n``-word shingles (words: runs of anything bu
    results, this one keeps common passages out of the prefixes.
 2. Equal sets are one node, named by a 128-bit digest.  Linked sets share a shingle among
    their first ``size - ceil(size * percent / 100) + 1``.  Prefix entries travel packed, one
-   row per task and hash bucket, and buckets keep the shingles of two nodes or more.
+   row per task and hash bucket, and buckets keep the shingles of two nodes or more, and of
+   these the entries whose length, or place in a group of two, allows a link in the group.
 3. In every group of a shingle one node, that with the most entries in common with others,
    is paired with the others that pass the filters of step 4; the pairs are verified and
    joined up to components.  Edited copies link with their original more than with each
@@ -208,8 +209,27 @@ def nodes_of(docs: DataFrame, text_col: str, n: int) -> DataFrame:
     return base.mapInArrow(run, schema)
 
 
+def has_partner(lead: np.ndarray, many: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """Of the entries of the groups that start at ``lead`` and have ``many`` entries each: whether
+    the length filter, and in a group of two the positional filter, allow a link with another."""
+    group = np.repeat(np.arange(len(many)), many)
+    order = np.lexsort((n, group))                                  # if any partner's length will do, that of a neighbour will
+    size, mine = n[order].astype(np.int64), group[order]
+    near = (mine[1:] == mine[:-1]) & (100 * size[:-1] >= percent * size[1:])
+    out = np.zeros(len(n), bool)
+    out[order[1:]] = near
+    out[order[:-1]] |= near
+    a = lead[many == 2]
+    na, nb, pa_, pb = (x.astype(np.int64) for x in (n[a], n[a + 1], pos[a], pos[a + 1]))
+    ends = np.minimum(pa_, pb) + np.minimum(na - pa_, nb - pb)
+    far = (100 + percent) * ends < percent * (na + nb)
+    out[a[far]] = out[a[far] + 1] = False
+    return out
+
+
 def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: int, n: int, percent: int) -> DataFrame:
-    """Prefix entries (h, node, n, pos) of the shingles that two nodes or more have; ``many``: how many."""
+    """Prefix entries (h, node, n, pos) of the shingles that two nodes or more have, without those
+    that their lengths and places allow no link in the group; ``many``: how many are left."""
     shared = docs.sparkSession.sparkContext.broadcast(cells)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,8 +277,10 @@ def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: in
         first[1:] = h[1:] != h[:-1]
         lead = np.flatnonzero(first)
         many = np.diff(np.append(lead, len(h)))
-        keep = np.repeat(many > 1, many)
-        order, h, many = order[keep], h[keep], np.repeat(many, many)[keep]
+        keep = has_partner(lead, many, c["n"][order], c["pos"][order], percent)
+        many = np.add.reduceat(keep.astype(np.int64), lead)
+        many = np.repeat(many, np.diff(np.append(lead, len(h))))
+        order, h, many = order[keep], h[keep], many[keep]
         name = np.stack([s1, s2], 1).astype(">u8")
         fixed = lambda x: pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(x), [None, pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())
         for lo in range(0, len(h), 100_000):

@@ -382,3 +382,25 @@ def test_jaccard_of_long_texts(spark):
 def flat(text):
     raw = np.frombuffer(text.encode(), np.uint8)
     return raw, np.array([0, len(raw)])
+
+
+def test_jaccard_entries_without_partner_are_dropped():
+    """Kept is every entry that a pair filter passes with another of its group, and of groups of two no other."""
+    from riskframe.llm.jaccard_join import has_partner
+    rng = np.random.default_rng(5)
+    many = rng.integers(1, 5, 400)
+    lead = np.append(0, np.cumsum(many)[:-1])
+    n = rng.integers(1, 60, many.sum()).astype(np.uint32)
+    pos = (rng.random(len(n)) * (n - -(-n.astype(np.int64) * 75 // 100) + 1)).astype(np.uint32)
+    kept = has_partner(lead, many, n, pos, 75)
+    dropped = 0
+    for at, m in zip(lead, many):
+        for i in range(at, at + m):
+            def links(j):
+                a, b, p, q = int(n[i]), int(n[j]), int(pos[i]), int(pos[j])
+                return 100 * min(a, b) >= 75 * max(a, b) and 175 * (min(p, q) + 1 + min(a - p, b - q) - 1) >= 75 * (a + b)
+            want = any(links(j) for j in range(at, at + m) if j != i)
+            assert kept[i] or not want
+            assert m > 2 or kept[i] == want
+            dropped += not kept[i]
+    assert dropped > len(n) // 4
