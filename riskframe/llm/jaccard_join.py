@@ -8,10 +8,12 @@ A document's set is its distinct ``n``-word shingles (words: runs of anything bu
    text bytes and ``2**SKETCH_BITS`` at most (8 MB to broadcast).  Cell count, by eighths of
    an octave, then hash, is the order of shingles, rare ones first; any order gives right
    results, this one keeps common passages out of the prefixes.
-2. Equal sets are one node, named by a 128-bit digest.  Linked sets share a shingle among
+2. Equal sets are one node, named by a 96-bit digest.  Linked sets share a shingle among
    their first ``size - ceil(size * percent / 100) + 1``.  Prefix entries travel packed, one
    row per task and hash bucket, and buckets keep the shingles of two nodes or more, and of
    these the entries whose length, or place in a group of two, allows a link in the group.
+   Near copies share many shingles and would meet once for each: groups of the same nodes are
+   one, that of the first of their shingles, which any pair that links has in common too.
 3. In every group of a shingle one node, that with the most entries in common with others,
    is paired with the others that pass the filters of step 4; the pairs are verified and
    joined up to components.  Edited copies link with their original more than with each
@@ -43,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, discard, slices, span_hashes, staged, utf8_column, window_hashes, without, word_bounds
+from .common import LOWER, discard, mix, slices, span_hashes, staged, utf8_column, window_hashes, without, word_bounds
 from .components import components
 
 N_WORDS = 5
@@ -55,6 +57,8 @@ BUCKET_BYTES = 8 << 20
 FLUSH_ENTRIES = 1 << 18
 #: Digests of the sets that a task has seen, so that copies within a task have entries once.
 SEEN_SETS = 200_000
+#: Bytes of a node's name: 1e-11 chances of two equal ones among 1e9 sets, and four bytes less an entry than 16.
+NODE_BYTES = 12
 #: Longs of a set's parities.
 SIG_LONGS = 8
 #: Hash classes of a set's long parities at most.
@@ -62,7 +66,7 @@ WIDE_CLASSES = 1 << 24
 _QUARTERS = ("q0", "q1", "q2", "q3")
 _PARITIES = tuple(f"g{i}" for i in range(SIG_LONGS))
 RESULTS = ("n_shingles", "component_id")
-_ENTRY = (("h", np.uint64), ("s1", np.uint64), ("s2", np.uint64), ("n", np.uint32), ("pos", np.uint32))
+_ENTRY = (("h", np.uint64), ("s1", np.uint64), ("s2", np.uint32), ("n", np.uint32), ("pos", np.uint32))
 
 
 def _spaces() -> np.ndarray:
@@ -199,7 +203,7 @@ def nodes_of(docs: DataFrame, text_col: str, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [(digest(s) if len(s) else None, len(s), signature(s), wide_parities(s)) for s in _sets(b, text_col, n)]
+            sets = [(digest(s)[:NODE_BYTES] if len(s) else None, len(s), signature(s), wide_parities(s)) for s in _sets(b, text_col, n)]
             keep = [x for x in b.schema.names if x != text_col]
             yield pa.RecordBatch.from_arrays(
                 [b.column(b.schema.get_field_index(x)) for x in keep]
@@ -227,9 +231,30 @@ def has_partner(lead: np.ndarray, many: np.ndarray, n: np.ndarray, pos: np.ndarr
     return out
 
 
+def same_members(h: np.ndarray, s1: np.ndarray, s2: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of entries by group (``h``), then node: groups of the same nodes become one, named by a hash
+    of its nodes.  Places in a set follow one order of all shingles, so the group with the least
+    place in one node is the least in all.  Returns the entries of that group, the names, and
+    the nodes in all groups that are one with it."""
+    lead = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    many = np.diff(np.append(lead, len(h)))
+    name = mix(np.add.reduceat(mix(mix(s1) ^ s2), lead) + many.astype(np.uint64))
+    order = np.lexsort((pos[lead], name))
+    first = np.flatnonzero(np.append(True, name[order][1:] != name[order][:-1]))
+    times = np.diff(np.append(first, len(order)))
+    told = np.sort(order[first])
+    weight = np.zeros(len(lead), np.int64)
+    weight[order[first]] = times * many[order[first]]
+    chosen = np.zeros(len(lead), bool)
+    chosen[told] = True
+    size = many[told]
+    return np.flatnonzero(np.repeat(chosen, many)), np.repeat(name[told], size), np.repeat(weight[told], size)
+
+
 def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: int, n: int, percent: int) -> DataFrame:
     """Prefix entries (h, node, n, pos) of the shingles that two nodes or more have, without those
-    that their lengths and places allow no link in the group; ``many``: how many are left."""
+    that their lengths and places allow no link in the group.  Groups of the same nodes are one
+    (``h``: its name); ``many``: the entries of all of them."""
     shared = docs.sparkSession.sparkContext.broadcast(cells)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +263,7 @@ def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: in
         held, size, seen = [], 0, set()
         for b in batches:
             for s in _sets(b, text_col, n):
-                name = digest(s)
+                name = digest(s)[:NODE_BYTES]
                 if not len(s) or name in seen:
                     continue
                 if len(seen) >= SEEN_SETS:
@@ -246,8 +271,8 @@ def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: in
                 seen.add(name)
                 p = prefix_length(len(s), percent)
                 h = s[np.argsort(count[(s & mask).astype(np.int64)], kind="stable")[:p]]
-                d = np.frombuffer(name, ">u8")
-                held.append((h, np.full(p, d[0], np.uint64), np.full(p, d[1], np.uint64), np.full(p, len(s), np.uint32),
+                s1, s2 = (int.from_bytes(x, "big") for x in (name[:8], name[8:]))
+                held.append((h, np.full(p, s1, np.uint64), np.full(p, s2, np.uint32), np.full(p, len(s), np.uint32),
                              np.arange(p, dtype=np.uint32)))
                 size += p
                 if size >= FLUSH_ENTRIES:
@@ -278,20 +303,23 @@ def prefix_groups(docs: DataFrame, text_col: str, cells: np.ndarray, buckets: in
         lead = np.flatnonzero(first)
         many = np.diff(np.append(lead, len(h)))
         keep = has_partner(lead, many, c["n"][order], c["pos"][order], percent)
-        many = np.add.reduceat(keep.astype(np.int64), lead)
-        many = np.repeat(many, np.diff(np.append(lead, len(h))))
-        order, h, many = order[keep], h[keep], many[keep]
-        name = np.stack([s1, s2], 1).astype(">u8")
-        fixed = lambda x: pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(x), [None, pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())
+        order, h, s1, s2 = order[keep], h[keep], s1[keep], s2[keep]
+        if not len(h):
+            return
+        at, h, many = same_members(h, s1, s2, c["pos"][order])
+        order = order[at]
+        name = np.concatenate([x[at].astype(kind)[:, None].view(np.uint8) for x, kind in ((s1, ">u8"), (s2, ">u4"))], axis=1)
+        fixed = lambda x: pa.FixedSizeBinaryArray.from_buffers(pa.binary(NODE_BYTES), len(x), [None, pa.py_buffer(np.ascontiguousarray(x))]).cast(pa.binary())
         for lo in range(0, len(h), 100_000):
             at = slice(lo, lo + 100_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[at].view(np.int64)), fixed(name[keep][at]),
+                [pa.array(h[at].view(np.int64)), fixed(name[at]),
                  *[pa.array(c[x][order[at]].astype(np.int64)) for x in ("n", "pos")], pa.array(many[at].astype(np.int64))],
                 names=["h", "node", "n", "pos", "many"])
 
     rows = docs.select(text_col).mapInArrow(emit, "bucket long, " + ", ".join(f"{x} binary" for x, _ in _ENTRY))
-    return rows.groupBy("bucket").applyInArrow(group, "h long, node binary, n long, pos long, many long")
+    found = rows.groupBy("bucket").applyInArrow(group, "h long, node binary, n long, pos long, many long")
+    return found.groupBy("h", "node").agg(F.first("n").alias("n"), F.min("pos").alias("pos"), F.sum("many").alias("many"))
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -339,7 +367,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str,
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = list(_sets(b, "text", n))
-            yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in got], pa.binary()),
+            yield pa.RecordBatch.from_arrays([pa.array([digest(s)[:NODE_BYTES] for s in got], pa.binary()),
                                               pa.array([s.tobytes() for s in got], pa.binary())], names=["node", "s"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -404,3 +404,39 @@ def test_jaccard_entries_without_partner_are_dropped():
             assert m > 2 or kept[i] == want
             dropped += not kept[i]
     assert dropped > len(n) // 4
+
+
+def test_jaccard_groups_of_the_same_nodes_are_one(spark):
+    """Two near copies meet once, not once for every shingle they share in their prefixes; a
+    third set that shares some of these shingles makes few groups more."""
+    r = random.Random(23)
+    base = [f"w{r.randrange(10 ** 6)}" for _ in range(400)]
+    texts = [base[:320] + [f"z{i}" for i in range(20)], base[:320] + [f"x{i}" for i in range(100)], base[:40] + [f"y{i}" for i in range(360)]]
+    docs = spark.createDataFrame([(i, " ".join(t), "s", None) for i, t in enumerate(texts)], SCHEMA).select("doc_id", "text")
+    cells = np.zeros(1 << 16, np.uint8)
+    two = jaccard_join.prefix_groups(docs.where("doc_id < 2"), "text", cells, 7, 5, 75).collect()
+    assert len({x.node for x in two}) == 2 == len(two) and len({x.h for x in two}) == 1
+    assert len({x.many for x in two}) == 1 and two[0].many > 10
+    three = jaccard_join.prefix_groups(docs, "text", cells, 7, 5, 75).collect()
+    assert 2 < len(three) <= 3 * 2 + 3
+
+
+def test_same_members_against_brute_force():
+    rng = np.random.default_rng(3)
+    sets, place = [], {}
+    for g in range(300):
+        nodes = sorted(rng.choice(6, rng.integers(2, 5), replace=False).tolist())
+        sets.append(nodes)
+        place |= {(g, x): g // 3 + 10 * x + 1 for x in nodes}                   # ascending with g in all nodes
+    h = np.array([g for g, s in enumerate(sets) for _ in s], np.uint64)
+    node = np.array([x for s in sets for x in s], np.uint64)
+    pos = np.array([place[g, x] for g, s in enumerate(sets) for x in s], np.uint32)
+    at, name, many = jaccard_join.same_members(h, node + np.uint64(7), node, pos)
+    want = Counter(tuple(s) for s in sets)
+    got = {}
+    for i, k, m in zip(at.tolist(), name.tolist(), many.tolist()):
+        got.setdefault(k, []).append((int(node[i]), int(pos[i]), m))
+    assert {tuple(x for x, _, _ in v): v[0][2] for v in got.values()} == {s: c * len(s) for s, c in want.items()}
+    for v in got.values():
+        first = next(g for g, s in enumerate(sets) if s == [x for x, _, _ in v])
+        assert [p for _, p, _ in v] == [place[first, x] for x, _, _ in v]
