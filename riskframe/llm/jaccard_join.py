@@ -37,6 +37,7 @@ like a result column are replaced by it; other columns pass through.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -154,7 +155,9 @@ def sketch(docs: DataFrame, text_col: str, n: int = N_WORDS, size: int = 0) -> n
                 if len(at):
                     many = total[i + at]
                     kind = next(k for k in (np.uint8, np.uint16, np.uint32) if many.max() <= np.iinfo(k).max)
-                    rows.append((i // part, np.dtype(kind).str, at.astype(np.uint16).tobytes(), many.astype(kind).tobytes()))
+                    # cells in use: their places or, where that is shorter, a bit for each cell
+                    used = at.astype(np.uint16) if len(at) < part // 16 else np.packbits(total[i:i + part] > 0)
+                    rows.append((i // part, np.dtype(kind).str, used.tobytes(), zlib.compress(many.astype(kind).tobytes(), 1)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.string(), pa.binary(), pa.binary()))],
@@ -163,8 +166,10 @@ def sketch(docs: DataFrame, text_col: str, n: int = N_WORDS, size: int = 0) -> n
     def add(key: tuple[pa.Scalar, ...], tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(part, np.int64)
         for t in tables:
-            for kind, at, many in zip(t.column(1).to_pylist(), t.column(2), t.column(3)):
-                total[np.frombuffer(at.as_buffer(), np.uint16)] += np.frombuffer(many.as_buffer(), kind)
+            for kind, used, many in zip(t.column(1).to_pylist(), t.column(2).to_pylist(), t.column(3).to_pylist()):
+                bits = len(used) == part // 8                       # places are fewer bytes
+                at = np.flatnonzero(np.unpackbits(np.frombuffer(used, np.uint8))) if bits else np.frombuffer(used, np.uint16)
+                total[at] += np.frombuffer(zlib.decompress(many), kind)
         level = np.minimum(8 * np.log2(1 + total), 255).astype(np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([level.tobytes()], pa.binary())],
                                          names=["part", "cells"])

@@ -440,3 +440,17 @@ def test_same_members_against_brute_force():
     for v in got.values():
         first = next(g for g, s in enumerate(sets) if s == [x for x, _, _ in v])
         assert [p for _, p, _ in v] == [place[first, x] for x, _, _ in v]
+
+
+def test_sketch_counts_every_shingle(spark):
+    """Cells in use are told by places where they are few and by bits where they are many."""
+    r = random.Random(31)
+    texts = [" ".join(f"w{r.randrange(10 ** 6)}" for _ in range(20_000)), "a b c d e f g " * 300, "a b", None, ""]
+    docs = spark.createDataFrame([(i, t, "s", None) for i, t in enumerate(texts)], SCHEMA)
+    for some in (docs, docs.where("doc_id > 0")):
+        got = jaccard_join.sketch(some.repartition(3), "text", size=1)
+        want = np.zeros(1 << 16, np.int64)
+        for x in some.collect():
+            if x.text:
+                np.add.at(want, (jaccard_join.shingle_rows(*flat(x.text))[0] & np.uint64((1 << 16) - 1)).astype(np.int64), 1)
+        assert (got == np.minimum(8 * np.log2(1 + want), 255).astype(np.uint8)).all() and got.any()
