@@ -217,3 +217,19 @@ def test_permutation_importance_against_brute_force(spark):
     for f, d in drops.items():
         assert got[f].importance_mean == pytest.approx(np.mean(d), abs=1e-12)
         assert got[f].importance_std == pytest.approx(np.std(d), abs=1e-12)
+
+
+def test_variants_are_scored_on_all_cores(spark):
+    """Rows unfold into many variants: tasks are counted by these, not by the bytes of the rows."""
+    from riskframe.operators import explain
+    df = spark.range(60).selectExpr("id SK_ID_CURR", "cast(id % 3 = 0 as int) TARGET", "id % 7 / 7d a", "cast(id % 5 as string) b").coalesce(1).persist()
+    tasks = []
+
+    class Model:
+        def transform(self, rows):
+            tasks.append(rows.rdd.getNumPartitions())
+            return rows.withColumn("p", F.col("a") / 2 + F.when(F.col("b") == "1", 0.25).otherwise(0.0))
+    explain.permutation_importance(Model(), df, ["a", "b"], n_repeats=2).collect()
+    got = explain.shapley_sampling(Model(), df, df, ["a", "b"], n_permutations=3).groupBy("SK_ID_CURR").count().collect()
+    assert tasks[0] == 1 and min(tasks[1:]) >= spark.sparkContext.defaultParallelism and len(tasks) == 3
+    assert len(got) == 60 and {r["count"] for r in got} == {2}
